@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmill.llm import sql_text
+from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.survivors import survivors
 from atlasmill.tables import current_rows, table
@@ -37,8 +38,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found}
+    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids}
 
 
 def sql() -> dict[str, str]:
