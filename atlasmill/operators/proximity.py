@@ -119,7 +119,7 @@ def region_cover(regions: DataFrame, key: str, geometry: str, cells: int = COVER
 def containing_regions(points: DataFrame, key: str, lat: str, lon: str, cover: DataFrame) -> DataFrame:
     """key, region of the points inside regions covered by region_cover(); holes are outside, every part counts.
 
-    The point's code at each level that the cover uses is joined to the covering cells; points in border cells are then tested
+    The point's code at each level that the cover uses is merge-joined to the covering cells, which grow with the regions; points in border cells are then tested
     exactly by ray casting (half-open, so a point on a shared border is in one of the two). The levels, 13 at most, are the only
     thing brought to the driver. Unusable positions and null keys take no part.
     """
@@ -128,5 +128,5 @@ def containing_regions(points: DataFrame, key: str, lat: str, lon: str, cover: D
     own = own.filter(F.col("key").isNotNull() & usable(F.col("y"), F.col("x")))
     at = F.array(*(F.struct(F.lit(v).alias("level"), morton(*lonlat_cell(F.col("y"), F.col("x"), v)).alias("cell")) for v in levels)) if levels else F.lit(None).cast("array<struct<level:int,cell:bigint>>")
     own = own.select("key", "x", "y", F.inline(at))
-    inside = own.join(cover, ["level", "cell"]).filter(F.col("whole") | ray_parity(F.col("x"), F.col("y"), F.col("edges")))
+    inside = own.join(cover.hint("merge"), ["level", "cell"]).filter(F.col("whole") | ray_parity(F.col("x"), F.col("y"), F.col("edges")))
     return inside.select("key", "region").distinct()
