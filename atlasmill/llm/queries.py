@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from atlasmill.llm import sql_text
 from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
+from atlasmill.llm.leakage import leaks
 from atlasmill.llm.survivors import survivors
 from atlasmill.tables import current_rows, table
 
@@ -42,8 +43,13 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.filter("kind = 'verbatim'").select("doc_id", "item_id")
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids}
+    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_found": p8_found}
 
 
 def sql() -> dict[str, str]:
