@@ -9,6 +9,7 @@ from atlasmill.llm import sql_text
 from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.leakage import leaks
+from atlasmill.llm.pii import mentions
 from atlasmill.llm.survivors import survivors
 from atlasmill.tables import current_rows, table
 
@@ -48,8 +49,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter("kind = 'verbatim'").select("doc_id", "item_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "pii_kind", "start_pos")
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:
