@@ -44,7 +44,7 @@ def quality_model(claims: DataFrame, rounds: int = 6, prior_true: float = 0.7) -
     spark = claims.sparkSession
     given = claims.groupBy("group", "field", "value").agg(F.array_sort(F.collect_set("source")).alias("yes"))
     there = claims.groupBy("group", "field").agg(F.array_sort(F.collect_set("source")).alias("all"))
-    facts = given.join(there, ["group", "field"]).select("group", "field", "value", "yes", F.array_except("all", "yes").alias("no"))
+    facts = given.join(there.hint("merge"), ["group", "field"]).select("group", "field", "value", "yes", F.array_except("all", "yes").alias("no"))
     facts = materialize(facts, "facts")
     patterns = materialize(facts.groupBy("yes", "no").agg(F.count("*").alias("n")), "patterns")
     names = [r[0] for r in claims.select("source").distinct().limit(10_001).collect()]
@@ -106,7 +106,7 @@ def survivors(members: DataFrame, field: str, sources: DataFrame, rounds: int =
     weights = sources.groupBy(F.col("name").alias("source")).agg(F.max("reliability_weight").alias("weight"))
     one = materialize(one.join(small(weights), "source", "left").withColumn("weight", F.coalesce("weight", F.lit(0.5))), "members")
     judged, _ = quality_model(one.select("group", F.lit(field).alias("field"), F.col("skeleton").alias("value"), "source"), rounds)
-    scored = one.join(judged.select("group", F.col("value").alias("skeleton"), "p_true"), ["group", "skeleton"])
+    scored = one.join(judged.select("group", F.col("value").alias("skeleton"), "p_true").hint("merge"), ["group", "skeleton"])
     since = F.coalesce(F.unix_micros("harvested_at"), F.lit(-(2**62)))
     person = F.struct(
         "p_true", "weight", since.alias("at"), F.col("source_key"), F.col("value"), F.col("skeleton")
