@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmill.llm import sql_text
+from atlasmill.llm.addresses import build_reader, same_address
 from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.leakage import leaks
@@ -34,12 +35,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
     out = None
     for field, rows in (("name_ar", name), ("hours", hours)):
-        best = survivors(rows.join(groups, "source_key"), field, sources).filter("dominant")
+        best = survivors(rows.join(groups.hint("merge"), "source_key"), field, sources).filter("dominant")
         best = best.select(F.col("group").alias("entity_id"), "field_name", "source_key")
         out = best if out is None else out.unionByName(best)
     return out
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reader = build_reader(table(spark, sf_dir, "districts"), table(spark, sf_dir, "name_register"))
+    return same_address(_current(spark, sf_dir, ["address"]), "id", "address", reader).select("id_a", "id_b")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -54,7 +60,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+    return {"p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:
