@@ -10,6 +10,7 @@ from atlasmill.llm.addresses import build_reader, same_address
 from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.leakage import leaks
+from atlasmill.llm.matching import match_records
 from atlasmill.llm.pii import mentions
 from atlasmill.llm.survivors import survivors
 from atlasmill.tables import current_rows, table
@@ -19,6 +20,13 @@ def _current(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     return current_rows(table(spark, sf_dir, "riyadh_pharmacies"), table(spark, sf_dir, "snapshots"), columns)
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, fields = F.concat_ws(":", "source", "id").alias("source_key"), ["name_en", "name_ar", "phone", "lat", "lon"]
+    now = _current(spark, sf_dir, ["source", *fields]).select("id", *fields, key)
+    alt = table(spark, sf_dir, "riyadh_pharmacies_alt").select("id", *fields, key).distinct()
+    return match_records(now, alt, table(spark, sf_dir, "merge_groups")).select("id", "alt_id")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = _current(spark, sf_dir, ["name_en", "name_ar"])
     return matches_register(now, "id", table(spark, sf_dir, "name_register"), "name_id", ["name_en", "name_ar"])
@@ -60,7 +68,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:
