@@ -421,7 +421,7 @@ FROM d4 n FULL JOIN d3 o ON o.id = n.id""",
     "layer_columns": f"""WITH {CURRENT_SQL} SELECT count(*) AS id, {", ".join(f"count(*) FILTER (WHERE trim({c}) NOT IN ('', '[]', '{{}}')) AS {c}" for c in ("name_en", "name_ar", "phone", "address"))}, count(lat) AS lat FROM cur""",
     "layer_rows": f"""WITH {_MERGED} SELECT stable_id, lon AS longitude, split_part(keys[1], ':', 1) AS primary_source, regexp_replace(keys[1], '^[^:]*:', '') AS primary_source_id,
   CAST(to_json(keys) AS VARCHAR) AS source_keys, FALSE AS name_en_generated, confidence AS geometry_confidence, phone_by AS provenance_phone FROM ided""",
-    "bilingual_names": f"""WITH {CURRENT_SQL} SELECT id, coalesce(regexp_matches(name_en, '\\p{{Latin}}'), FALSE) AS english, coalesce(regexp_matches(name_ar, '[\\p{{Arabic}}]'), FALSE) AS arabic FROM cur""",
+    "bilingual_names": f"""WITH {CURRENT_SQL} SELECT id, coalesce(regexp_matches(name_en, '\\p{{Latin}}'), FALSE) AS english, coalesce(regexp_matches(name_ar, '[\\x{{0621}}-\\x{{064A}}\\x{{066E}}-\\x{{06D3}}\\x{{FE70}}-\\x{{FEFC}}]'), FALSE) AS arabic FROM cur""",
     "phone_keys": f"WITH {CURRENT_SQL} SELECT id, {_DIGITS.format('phone')} AS digits FROM cur",
     "tag_lookup": f"""WITH {CURRENT_SQL}, leaf(id) AS (VALUES {_LEAVES}) SELECT category, leaf.id AS leaf, count(*) AS n FROM cur LEFT JOIN leaf ON leaf.id = lower(trim(category)) GROUP BY ALL""",
     "geocoded": f"""WITH {CURRENT_SQL},
