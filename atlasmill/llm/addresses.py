@@ -261,7 +261,7 @@ def same_address(rows: DataFrame, key: str, address: str, reader: Reader, overla
         )
         shared = w["number"] + F.when(street, w["street"]).otherwise(0) + F.when(F.col("a.kind") == F.col("b.kind"), w["kind"]).otherwise(0) + F.when(district, w["district"]).otherwise(0)
         return pairs.filter(street & district & (F.col("a.kind") == F.col("b.kind"))).select(
-            F.least("a.k", "b.k").alias("id_a"), F.greatest("a.k", "b.k").alias("id_b"), (shared / sum(w.values())).alias("overlap")
+            F.least("a.k", "b.k").alias("id_a"), F.greatest("a.k", "b.k").alias("id_b"), (shared / (sum(w.values()) or 1.0)).alias("overlap")
         )
 
     found = scored(by_street).unionByName(scored(by_district)).filter(F.col("overlap") >= overlap)
