@@ -86,7 +86,7 @@ def _doc_words(documents: DataFrame, key: str, text: str, vocabulary: dict[str,
                 if len(ids) >= run and (_passages(ids, run) >= 0).sum(axis=1).max() >= run:
                     keep.append(i)
                     out.append(ids)
-            yield pd.DataFrame({"k": batch["k"].iloc[keep].to_numpy(), "w": out})
+            yield pd.DataFrame({"k": batch["k"].iloc[keep].reset_index(drop=True), "w": pd.Series(out, dtype=object)})
 
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).filter("t is not null and k is not null")
