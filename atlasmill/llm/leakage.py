@@ -114,7 +114,7 @@ def _sum_by_term(rows: DataFrame, width: int) -> np.ndarray:
         for b in batches:
             for t, v in zip(b["term"], b["v"]):
                 sums[t] = sums.get(t, 0.0) + np.asarray(v, dtype=np.float64)
-        yield pd.DataFrame({"term": list(sums), "v": list(sums.values())})
+        yield pd.DataFrame({"term": pd.Series(list(sums), dtype="int32"), "v": pd.Series(list(sums.values()), dtype=object)})
 
     got = rows.repartition("term").mapInPandas(total, "term int, v array<double>").collect()
     out = np.zeros((max([r["term"] for r in got], default=-1) + 1, width))
