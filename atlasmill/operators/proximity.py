@@ -63,9 +63,8 @@ def _rings(geometry: str | None) -> list[list[np.ndarray]]:
 
 def _cover(rings: list[np.ndarray], cells: int) -> tuple[int, list[tuple[int, int, bool, list[dict]]]]:
     """Level and (x, y, whole, edges) of the cells of one part; edges are those an eastward ray from the cell can meet."""
-    segs = np.vstack([np.hstack([r[:-1], r[1:]]) for r in rings])
-    segs = segs[segs[:, 1] != segs[:, 3]] if (segs[:, 1] != segs[:, 3]).any() else segs
     every = np.vstack([np.hstack([r[:-1], r[1:]]) for r in rings])
+    segs = every[every[:, 1] != every[:, 3]]  # a ray to the east never crosses a level edge
     x0, y0, x1, y1 = *rings[0].min(axis=0), *rings[0].max(axis=0)
     level = 24
     while level > 0 and (math.floor((x1 - x0) / (360 / 2**level)) + 2) * (math.floor((y1 - y0) / (180 / 2**level)) + 2) > cells:
