@@ -20,7 +20,7 @@ from atlasmill.session import materialize
 from atlasmill.sinks import layer
 from atlasmill.sources.records import parse_payload
 from atlasmill.sources.registry import checked
-from atlasmill.sources.taxonomy import taxonomy
+from atlasmill.sources.taxonomy import taxonomy, taxonomy_rows
 from atlasmill.streaming.snapshot_state import judged_stream
 from atlasmill.tables import current_rows, table
 
@@ -347,6 +347,9 @@ near AS (SELECT * FROM (
   FROM probe a JOIN grid b ON a.ny = b.cy AND a.nx = b.cx AND a.k < b.k) WHERE distance_m <= {metres})"""
 
 
+_CROSSWALK = ", ".join(
+    f"('{key}', '{p}', {repr(v) if v else 'NULL'})" for key, _, *lists in taxonomy_rows() for p, vs in zip(("osm_tags", "google_types", "wikidata_classes"), lists) for v in (vs or [None])
+)
 _CHANGED = ", ".join(f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{t}' END" for c, t in (("address", "address"), ("category", "category"), ("lat", "latitude"), ("lon", "longitude"), ("name_ar", "name_ar"), ("name_en", "name_en"), ("phone", "phone")))
 
 SQL = {
@@ -422,6 +425,13 @@ FROM d4 n FULL JOIN d3 o ON o.id = n.id""",
     "layer_rows": f"""WITH {_MERGED} SELECT stable_id, lon AS longitude, split_part(keys[1], ':', 1) AS primary_source, regexp_replace(keys[1], '^[^:]*:', '') AS primary_source_id,
   CAST(to_json(keys) AS VARCHAR) AS source_keys, FALSE AS name_en_generated, confidence AS geometry_confidence, phone_by AS provenance_phone FROM ided""",
     "bilingual_names": f"""WITH {CURRENT_SQL} SELECT id, coalesce(regexp_matches(name_en, '\\p{{Latin}}'), FALSE) AS english, coalesce(regexp_matches(name_ar, '[\\x{{0621}}-\\x{{064A}}\\x{{066E}}-\\x{{06D3}}\\x{{FE70}}-\\x{{FEFC}}]'), FALSE) AS arabic FROM cur""",
+    "bilingual_counts": f"""WITH {_MERGED}, v AS (SELECT coalesce(regexp_matches(name_en, '\\p{{Latin}}'), FALSE)
+    AND coalesce(regexp_matches(name_ar, '[\\x{{0621}}-\\x{{064A}}\\x{{066E}}-\\x{{06D3}}\\x{{FE70}}-\\x{{FEFC}}]'), FALSE) AS ok FROM ided)
+SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS valid_bilingual, count(*) FILTER (WHERE ok) AS authoritative, count(*) FILTER (WHERE ok) / count(*) AS authoritative_fraction FROM v""",
+    "taxonomy_coverage": f"""WITH leaf(id, provider, tag) AS (VALUES {_CROSSWALK}),
+n AS (SELECT provider, count(DISTINCT id) AS leaves, count(DISTINCT tag) AS tags, count(DISTINCT CASE WHEN tag IS NOT NULL THEN id END) AS mapped FROM leaf GROUP BY 1),
+twice AS (SELECT provider, count(*) AS c FROM (SELECT provider, tag FROM leaf WHERE tag IS NOT NULL GROUP BY ALL HAVING count(DISTINCT id) > 1) GROUP BY 1)
+SELECT provider, tags AS mapping_count, mapped AS mapped_leaf_count, round(mapped / leaves, 4) AS leaf_coverage, coalesce(c, 0) AS ambiguous_count FROM n LEFT JOIN twice USING (provider)""",
     "phone_keys": f"WITH {CURRENT_SQL} SELECT id, {_DIGITS.format('phone')} AS digits FROM cur",
     "tag_lookup": f"""WITH {CURRENT_SQL}, leaf(id) AS (VALUES {_LEAVES}) SELECT category, leaf.id AS leaf, count(*) AS n FROM cur LEFT JOIN leaf ON leaf.id = lower(trim(category)) GROUP BY ALL""",
     "geocoded": f"""WITH {CURRENT_SQL},

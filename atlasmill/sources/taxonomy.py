@@ -16,8 +16,13 @@ TAGS = {
 SCHEMA = "id string, label_en string, osm_tags array<string>, google_types array<string>, wikidata_classes array<string>"
 
 
-def taxonomy(spark: SparkSession) -> DataFrame:
-    """id, label_en and crosswalks of every category."""
+def taxonomy_rows() -> list[tuple]:
+    """(id, label, map tags, place types, knowledge-base classes) of every category."""
     rows = [(k, k.title(), [tag], [k], [q]) for k, (tag, q) in CORE.items()]
     rows += [(f"{key}_{v}", v.replace("_", " ").title(), [f"{key}={v}"], [v] if key in ("amenity", "tourism") else [], []) for key, words in TAGS.items() for v in words.split()]
-    return spark.createDataFrame(rows, SCHEMA)
+    return rows
+
+
+def taxonomy(spark: SparkSession) -> DataFrame:
+    """The categories as a table."""
+    return spark.createDataFrame(taxonomy_rows(), SCHEMA)
