@@ -43,12 +43,23 @@ def _passages(ids: np.ndarray, run: int) -> np.ndarray:
 def _weigh(p: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF rows (unit length) of passages over the vocabulary."""
     rows, cols = np.nonzero(p >= 0)
-    a = np.zeros((len(p), len(idf)), dtype=np.float32)
-    np.add.at(a, (rows, p[rows, cols]), 1.0)
+    a = np.bincount(rows * len(idf) + p[rows, cols], minlength=len(p) * len(idf)).reshape(len(p), len(idf)).astype(np.float32)
     a *= idf
     return a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
 
 
+def gram_codes(p: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit code of each run of n words of each row (equal runs have equal codes); runs with a negative word get 0."""
+    code = np.zeros((len(p), p.shape[1] - n + 1), dtype=np.uint64)
+    holes = np.zeros(code.shape, dtype=bool)
+    for i in range(n):
+        w = p[:, i : i + code.shape[1]]
+        code = code * np.uint64(0x9E3779B97F4A7C15) + (w.astype(np.int64) + 7).astype(np.uint64)
+        holes |= w < 0
+    code[holes] = 0
+    return code
+
+
 def longest_runs(window: np.ndarray, items: np.ndarray) -> np.ndarray:
     """Longest run of equal consecutive words of one window with each padded row of items (-2 matches nothing)."""
     run = np.zeros((len(items), items.shape[1] + 1), dtype=np.int16)
@@ -206,26 +217,31 @@ def leaks(
     for i, t in enumerate(texts):
         whole[i, : len(t)] = t
     keys = np.array([k for k, _ in held], dtype=object)
-    shared = spark.sparkContext.broadcast((idf, basis, cut, owner, latent.T.copy(), whole, keys, numeric))
+    grams = np.unique(gram_codes(whole, run))
+    shared = spark.sparkContext.broadcast((idf, basis, cut, owner, latent.T.copy(), whole, keys, numeric, grams[grams != 0]))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        idf, basis, cut, owner, latent, whole, keys, numeric = shared.value
+        idf, basis, cut, owner, latent, whole, keys, numeric, grams = shared.value
         for doc, p in _blocks(batches, run):
             v = _weigh(p, idf) @ basis
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
             near = v @ latent
             top = near.argmax(axis=1)
-            out = []
-            for i in np.flatnonzero(near[np.arange(len(p)), top] >= cosine):
-                some = np.unique(owner[near[i] >= cosine])
-                runs = longest_runs(p[i], whole[some])
-                hits = np.flatnonzero(runs >= run)
-                out += [(doc[i], keys[some[h]], "verbatim", int(runs[h])) for h in hits]
-                if not len(hits) and near[i, top[i]] >= paraphrase_cosine:
+            out, best = [], near[np.arange(len(p)), top]
+            shares = np.isin(gram_codes(p, run), grams).any(axis=1)  # without a common code there is no common run
+            for i in np.flatnonzero((best >= cosine) & (shares | (best >= paraphrase_cosine))):
+                hits = []
+                if shares[i]:
+                    some = np.unique(owner[near[i] >= cosine])
+                    runs = longest_runs(p[i], whole[some])
+                    hits = np.flatnonzero(runs >= run)
+                    out += [(doc[i], keys[some[h]], "verbatim", int(runs[h])) for h in hits]
+                if not len(hits) and best[i] >= paraphrase_cosine:
                     like = cut[top[i]]
                     like = like[like >= 0]
                     if lcs_length(p[i], like) >= paraphrase_lcs * len(like) and np.isin(like[numeric[like]], p[i]).all():
-                        out.append((doc[i], keys[owner[top[i]]], "paraphrase", int(runs.max())))
+                        longest = longest_runs(p[i], whole[owner[top[i]] : owner[top[i]] + 1])
+                        out.append((doc[i], keys[owner[top[i]]], "paraphrase", int(longest[0])))
             yield pd.DataFrame(out, columns=[doc_key, item_key, "kind", "longest_run"])
 
     found = docs.mapInPandas(search, schema)
