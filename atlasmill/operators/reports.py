@@ -40,6 +40,25 @@ def pair_quality(predicted: DataFrame, gold: DataFrame) -> DataFrame:
         F.count_if(F.col("g").isNull()).alias("false_pairs"),
         F.count_if(F.col("p").isNull()).alias("missed_pairs"),
     )
+    return _scores(counts)
+
+
+def group_quality(groups: DataFrame, group: str, key: str, gold: DataFrame) -> DataFrame:
+    """pair_quality() of all pairs within groups, counted without listing them: n (n - 1) / 2 a group, and the gold pairs both of whose keys it holds.
+
+    A key is in one group only; repeated rows count once. Groups of any size cost one row each.
+    """
+    g = groups.select(F.col(group).alias("g"), F.col(key).alias("k")).filter("g is not null and k is not null").distinct()
+    said = g.groupBy("g").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("said"))
+    left, right = g.select(F.col("k").alias("a"), F.col("g").alias("ga")), g.select(F.col("k").alias("b"), F.col("g").alias("gb"))
+    both = gold.select("a", "b").join(left.hint("merge"), "a", "left").join(right.hint("merge"), "b", "left")
+    there = both.agg(F.count("*").alias("there"), F.count_if(F.col("ga") == F.col("gb")).alias("true_pairs"))
+    counts = said.withColumn("_", F.lit(1)).join(F.broadcast(there.withColumn("_", F.lit(1))), "_")
+    return _scores(counts.select("true_pairs", (F.col("said") - F.col("true_pairs")).alias("false_pairs"), (F.col("there") - F.col("true_pairs")).alias("missed_pairs")))
+
+
+def _scores(counts: DataFrame) -> DataFrame:
+    """Add precision, recall and f1 to true_pairs, false_pairs and missed_pairs."""
     said, there = F.col("true_pairs") + F.col("false_pairs"), F.col("true_pairs") + F.col("missed_pairs")
     precision = F.when(said > 0, F.col("true_pairs") / said).otherwise(F.when(there == 0, 1.0).otherwise(0.0))
     recall = F.when(there > 0, F.col("true_pairs") / there).otherwise(1.0)

@@ -147,9 +147,7 @@ def kept_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_quality(spark: SparkSession, d: str) -> DataFrame:
     gold = reports.pairs_within(table(spark, d, "merge_groups"), "entity_id", "source_key")
-    mine = _by_phone(spark, d)
-    busy = mine.groupBy("digits").agg(F.count_distinct("source_key").alias("n")).filter("n <= 50")
-    return reports.pair_quality(reports.pairs_within(mine.join(busy.hint("merge"), "digits"), "digits", "source_key"), gold)
+    return reports.group_quality(_by_phone(spark, d), "digits", "source_key", gold)
 
 
 def _delivery(spark: SparkSession, d: str, no: int) -> DataFrame:
