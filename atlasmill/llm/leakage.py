@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from atlasmill.functions.visible import skeleton
 from atlasmill.session import materialize
 
-#: Words in a row that make a leak; passages are twice as long and start every RUN words, so each such run lies in one passage.
-RUN = 12
-#: Latent dimensions and surplus of the randomised SVD, and the cosine from which a passage is compared word by word.
-DIMENSIONS, SURPLUS, COSINE = 96, 16, 0.15
+#: Words in a row that make a leak; passages are WIDTH words long and start every WIDTH - RUN words, so each such run lies in one passage.
+RUN, WIDTH = 12, 16
+#: Latent dimensions and surplus of the randomised SVD, and the cosine from which two passages are compared word by word.
+DIMENSIONS, SURPLUS, COSINE = 96, 16, 0.6
 #: The held-out set is a stated query set of at most so many items.
 MAX_ITEMS = 20_000
-_MARKS = re.compile("[ؐ-ًؚ-ٰٟۖ-ۭـ]")
+#: Cosines held at a time, and spellings whose words a task remembers.
+_CELLS, _SPELLINGS = 4_000_000, 200_000
+_MARKS = re.compile("[\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed\u0640]")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -32,24 +34,32 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_MARKS.sub("", s))
 
 
-def _passages(ids: np.ndarray, run: int) -> np.ndarray:
-    """Rows of 2*run word numbers starting every `run` words; the end is padded with -1."""
-    n = max(1, -(-len(ids) // run))
-    padded = np.full((n + 1) * run, -1, dtype=np.int32)
-    padded[: len(ids)] = ids
-    return np.lib.stride_tricks.as_strided(padded, (n, 2 * run), (padded.strides[0] * run, padded.strides[0])).copy()
+class _Numbers(dict):
+    """Spelling between two spaces -> numbers of its words in the vocabulary, -1 for others; what was read once is remembered."""
+
+    def __init__(self, vocabulary: dict[str, int]) -> None:
+        self.vocabulary = vocabulary
+
+    def __missing__(self, spelling: str) -> list[int]:
+        if len(self) >= _SPELLINGS:
+            self.clear()
+        self[spelling] = out = [self.vocabulary.get(w, -1) for w in words(spelling)]
+        return out
 
+    def read(self, text: str) -> np.ndarray:
+        return np.fromiter((i for s in text.split() for i in self[s]), dtype=np.int32)
 
-def _weigh(p: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF rows (unit length) of passages over the vocabulary."""
-    rows, cols = np.nonzero(p >= 0)
-    a = np.bincount(rows * len(idf) + p[rows, cols], minlength=len(p) * len(idf)).reshape(len(p), len(idf)).astype(np.float32)
-    a *= idf
-    return a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
+
+def passages(ids: np.ndarray, width: int, step: int) -> np.ndarray:
+    """Rows of `width` word numbers starting every `step` words, the last one at or before the end; padded with -1."""
+    n = 1 + max(0, -(-(len(ids) - width) // step))
+    padded = np.full((n - 1) * step + width, -1, dtype=np.int32)
+    padded[: len(ids)] = ids
+    return np.lib.stride_tricks.sliding_window_view(padded, width)[::step]
 
 
-def gram_codes(p: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit code of each run of n words of each row (equal runs have equal codes); runs with a negative word get 0."""
+def run_codes(p: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit code of each run of n words of each row (equal runs have equal codes), 0 where a word is unknown."""
     code = np.zeros((len(p), p.shape[1] - n + 1), dtype=np.uint64)
     holes = np.zeros(code.shape, dtype=bool)
     for i in range(n):
@@ -60,43 +70,76 @@ def gram_codes(p: np.ndarray, n: int) -> np.ndarray:
     return code
 
 
-def longest_runs(window: np.ndarray, items: np.ndarray) -> np.ndarray:
-    """Longest run of equal consecutive words of one window with each padded row of items (-2 matches nothing)."""
-    run = np.zeros((len(items), items.shape[1] + 1), dtype=np.int16)
-    best = np.zeros(len(items), dtype=np.int16)
-    for w in window:
-        if w < 0:
-            run[:] = 0
-            continue
-        grown = np.where(items == w, run[:, :-1] + 1, 0)
-        run[:, 1:] = grown
-        np.maximum(best, grown.max(axis=1), out=best)
+def longest_run(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest run of equal consecutive words of two texts; unknown words (-1) equal nothing."""
+    run, best = np.zeros(len(b) + 1, dtype=np.int32), 0
+    for w in a:
+        run[1:] = np.where(b == w, run[:-1] + 1, 0) if w >= 0 else 0
+        best = max(best, int(run.max()))
     return best
 
 
-def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence."""
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    for x in a:
-        if x >= 0:
-            up = np.where(b == x, row[:-1] + 1, row[1:])
-            row[1:] = np.maximum.accumulate(up)
-    return int(row[-1])
-
-
-def _doc_words(documents: DataFrame, key: str, text: str, vocabulary: dict[str, int], run: int) -> DataFrame:
+def lcs_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of each row of a with that row of b (at most 62 columns), bit by bit; -1 equals nothing."""
+    bits = np.int64(1) << np.arange(b.shape[1], dtype=np.int64)
+    full = np.int64((1 << b.shape[1]) - 1)
+    rest = np.full(len(a), full, dtype=np.int64)
+    for j in range(a.shape[1]):
+        w = a[:, j : j + 1]
+        hit = rest & (((b == w) & (w >= 0)) @ bits)
+        rest = ((rest + hit) | (rest - hit)) & full
+    return b.shape[1] - np.bitwise_count(rest).astype(np.int64)
+
+
+class Weights:
+    """TF-IDF rows of passages, kept as word numbers: no row of the width of the vocabulary is ever made."""
+
+    def __init__(self, idf: np.ndarray) -> None:
+        self.idf = np.append(idf, 0).astype(np.float32)  # word -1 weighs nothing
+
+    def times(self, p: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Unit rows of p times a matrix of one row per word."""
+        padded = np.vstack([m, np.zeros((1, m.shape[1]), m.dtype)]) * self.idf[:, None]
+        return sum(padded[p[:, j]] for j in range(p.shape[1])) / self.norms(p)[:, None]
+
+    def transposed(self, p: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+        """The transpose of the unit rows of p times y."""
+        rows, cols = np.nonzero(p >= 0)
+        w = p[rows, cols]
+        order = np.argsort(w, kind="stable")
+        at = np.flatnonzero(np.r_[True, np.diff(w[order]) > 0])
+        out = np.zeros((size, y.shape[1]), dtype=np.float32)
+        if len(w):
+            seen = w[order][at]
+            out[seen] = np.add.reduceat((y / self.norms(p)[:, None])[rows[order]], at, axis=0) * self.idf[seen, None]
+        return out
+
+    def norms(self, p: np.ndarray) -> np.ndarray:
+        square = self.idf[p] ** 2
+        total = sum(((p == p[:, j : j + 1]) * square).sum(axis=1) for j in range(p.shape[1]))
+        return np.sqrt(np.maximum(total, 1e-12))
+
+    def latent(self, p: np.ndarray, basis: np.ndarray) -> np.ndarray:
+        """Unit latent vectors of passages."""
+        v = self.times(p, basis)
+        return (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def _doc_words(documents: DataFrame, key: str, text: str, vocabulary: dict[str, int], run: int, width: int) -> DataFrame:
     """key, w: word numbers (-1 outside the items' vocabulary) of documents in which a passage has `run` words of it."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        numbers = _Numbers(shared.value)
         for batch in batches:
             keep, out = [], []
             for i, t in enumerate(batch["t"]):
-                ids = np.fromiter((known.get(w, -1) for w in words(t)), dtype=np.int32)
-                if len(ids) >= run and (_passages(ids, run) >= 0).sum(axis=1).max() >= run:
-                    keep.append(i)
-                    out.append(ids)
+                ids = numbers.read(t)
+                if len(ids) >= run:
+                    known = np.concatenate([[0], np.cumsum(ids >= 0)])
+                    if (known[min(width, len(ids)) :] - known[: len(known) - min(width, len(ids))]).max() >= run:
+                        keep.append(i)
+                        out.append(ids)
             yield pd.DataFrame({"k": batch["k"].iloc[keep].reset_index(drop=True), "w": pd.Series(out, dtype=object)})
 
     kind = documents.schema[key].dataType.simpleString()
@@ -104,17 +147,19 @@ def _doc_words(documents: DataFrame, key: str, text: str, vocabulary: dict[str,
     return rows.mapInPandas(number, f"k {kind}, w array<int>")
 
 
-def _blocks(batches: Iterator[pd.DataFrame], run: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Passages with at least `run` words of the vocabulary, and the row each comes from, batch by batch."""
-    for batch in batches:
-        parts = [_passages(np.asarray(w, dtype=np.int32), run) for w in batch["w"]]
-        if not parts:
-            continue
-        at, p = np.repeat(np.arange(len(parts)), [len(x) for x in parts]), np.concatenate(parts)
-        full = (p >= 0).sum(axis=1) >= run
-        at, p = at[full], p[full]
-        for i in range(0, len(p), 4096):
-            yield batch["k"].to_numpy()[at[i : i + 4096]], p[i : i + 4096]
+def _blocks(batch: pd.DataFrame, run: int, width: int, block: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row of the batch, first word and words of its passages that have at least `run` words of the vocabulary, `block` at a time."""
+    step = width - run
+    parts = [passages(np.asarray(w, dtype=np.int32), width, step) for w in batch["w"]]
+    if not parts:
+        return
+    at = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    start = np.concatenate([np.arange(len(x)) for x in parts]) * step
+    p = np.concatenate(parts)
+    full = (p >= 0).sum(axis=1) >= run
+    at, start, p = at[full], start[full], p[full]
+    for i in range(0, len(p), block):
+        yield at[i : i + block], start[i : i + block], p[i : i + block]
 
 
 def _sum_by_term(rows: DataFrame, width: int) -> np.ndarray:
@@ -134,7 +179,7 @@ def _sum_by_term(rows: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def latent_basis(docs: DataFrame, size: int, run: int, dimensions: int, surplus: int) -> tuple[np.ndarray, np.ndarray]:
+def latent_basis(docs: DataFrame, size: int, run: int = RUN, width: int = WIDTH, dimensions: int = DIMENSIONS, surplus: int = SURPLUS) -> tuple[np.ndarray, np.ndarray]:
     """idf and the leading right singular vectors of all passages' TF-IDF rows, by a randomised SVD in three passes.
 
     Pass 1 counts the passages that hold each word; passes 2 and 3 multiply a random matrix, then its orthonormal range, by A'A.
@@ -142,35 +187,33 @@ def latent_basis(docs: DataFrame, size: int, run: int, dimensions: int, surplus:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, n = np.zeros(size), 0
-        for _, p in _blocks(batches, run):
-            hot = np.zeros((len(p), size), dtype=bool)
-            rows, cols = np.nonzero(p >= 0)
-            hot[rows, p[rows, cols]] = True
-            df += hot.sum(axis=0)
-            n += len(p)
-        yield pd.DataFrame({"term": np.arange(size + 1, dtype=np.int32), "v": [[x] for x in (*df, n)]})
+        df, n = np.zeros(size, dtype=np.int64), 0
+        for batch in batches:
+            for _, _, p in _blocks(batch, run, width, 1 << 14):
+                s = np.sort(p, axis=1)
+                df += np.bincount(s[(s >= 0) & np.c_[np.ones(len(s), bool), s[:, 1:] != s[:, :-1]]], minlength=size)
+                n += len(p)
+        yield pd.DataFrame({"term": np.arange(size + 1, dtype=np.int32), "v": [[float(x)] for x in (*df, n)]})
 
     counted = _sum_by_term(docs.mapInPandas(count, "term int, v array<double>"), 1)[:, 0]
     counted = counted if len(counted) else np.zeros(size + 1)
     idf = np.log((1 + counted[-1]) / (1 + counted[:-1])).astype(np.float32) + 0.1
-    width = min(size, dimensions + surplus)
-    q = np.random.default_rng(7).standard_normal((size, width)).astype(np.float32)
-    values = np.zeros(width)
+    columns = min(size, dimensions + surplus)
+    q = np.random.default_rng(7).standard_normal((size, columns)).astype(np.float32)
     for turn in range(2):
 
         def multiply(batches: Iterator[pd.DataFrame], q: np.ndarray = q) -> Iterator[pd.DataFrame]:
-            z, some = np.zeros((size, width), dtype=np.float32), False
-            for _, p in _blocks(batches, run):
-                a = _weigh(p, idf)
-                z += a.T @ (a @ q)
-                some = True
+            z, some, weights = np.zeros((size, columns), dtype=np.float32), False, Weights(idf)
+            for batch in batches:
+                for _, _, p in _blocks(batch, run, width, 1 << 12):
+                    z += weights.transposed(p, weights.times(p, q), size)
+                    some = True
             if some:
                 yield pd.DataFrame({"term": np.arange(size, dtype=np.int32), "v": list(z)})
 
-        z = _sum_by_term(docs.mapInPandas(multiply, "term int, v array<double>"), width)
+        z = _sum_by_term(docs.mapInPandas(multiply, "term int, v array<double>"), columns)
         if not len(z):
-            return idf, np.eye(size, width, dtype=np.float32)[:, :dimensions]
+            return idf, np.eye(size, columns, dtype=np.float32)[:, :dimensions]
         if turn == 0:
             q = np.linalg.qr(z)[0].astype(np.float32)
         else:
@@ -180,19 +223,50 @@ def latent_basis(docs: DataFrame, size: int, run: int, dimensions: int, surplus:
     return idf, q
 
 
+class Retrieval:
+    """The held-out passages in latent space, and the search of a document's passages among them."""
+
+    def __init__(self, texts: list[np.ndarray], idf: np.ndarray, basis: np.ndarray, run: int = RUN, width: int = WIDTH) -> None:
+        self.run, self.width, self.weights, self.basis, self.texts = run, width, Weights(idf), basis, texts
+        cut = [passages(t, width, width - run) for t in texts]
+        self.owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+        self.cut = np.concatenate(cut)
+        self.latent = np.concatenate([self.weights.latent(self.cut[i : i + 4096], basis) for i in range(0, len(self.cut), 4096)]).T.copy()
+        self.codes = run_codes(self.cut, run)
+        self.block = max(16, _CELLS // len(self.cut))
+
+    def candidates(self, p: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of p, held-out passage and cosine of the pairs of at least `cosine`."""
+        near = self.weights.latent(p, self.basis) @ self.latent
+        flat = np.flatnonzero(near.ravel() >= cosine)
+        i, j = np.divmod(flat, near.shape[1])
+        return i, j, near.ravel()[flat]
+
+    def verbatim(self, p: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which candidates have a run of `run` words in common."""
+        ours, hit = run_codes(p, self.run), np.zeros(len(i), dtype=bool)
+        for a in range(ours.shape[1]):
+            mine = ours[i, a]
+            for b in range(self.codes.shape[1]):
+                hit |= (mine == self.codes[j, b]) & (mine != 0)
+        return hit
+
+
 def leaks(
-    documents: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text",
-    run: int = RUN, dimensions: int = DIMENSIONS, cosine: float = COSINE, paraphrase_cosine: float = 0.75, paraphrase_lcs: float = 0.75,
+    documents: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", kinds: tuple[str, ...] = ("verbatim", "paraphrase"),
+    run: int = RUN, width: int = WIDTH, dimensions: int = DIMENSIONS, cosine: float = COSINE, paraphrase_cosine: float = 0.75, paraphrase_lcs: float = 0.75,
 ) -> DataFrame:
     """doc_key, item_key, kind, longest_run: documents that hold `run` consecutive words of an item ('verbatim'), or reword one ('paraphrase').
 
-    Documents and items are cut into overlapping passages of 2*run words; passages are compared in the latent space of a randomised
-    SVD of all passages' TF-IDF rows. A pair of at least `cosine` is compared word by word: a common run of `run` words is a leak. Of
-    each passage without one, the most similar item passage (from paraphrase_cosine) is a paraphrase if their longest common
-    subsequence covers paraphrase_lcs of its words and all its numbers, the answers, occur. Words ignore case, punctuation, spacing and
-    Arabic vowel marks. Null, empty and shorter texts leak nothing; a text of any length is read whole; repeated rows give one
-    row; other columns are not read. The items are a stated query set (at most MAX_ITEMS, checked) and are held against all passages in
-    blocks; passages with fewer than `run` words of the items' vocabulary cannot hold a leak and are skipped.
+    Documents and items are cut into overlapping passages of `width` words; passages are compared in the latent space of a randomised
+    SVD of all passages' TF-IDF rows, and only pairs of at least `cosine` go on. Such a pair with a common run of `run` words is a leak;
+    longest_run is then taken over both whole texts. A pair of at least paraphrase_cosine whose longest common subsequence covers
+    paraphrase_lcs of the item's passage, and all of whose numbers (the answers; at least one, if the item has any) occur there, is a paraphrase
+    (longest_run is then below `run`), looked for in the document's passage and half a passage on either side; a document and item with both are 'verbatim'.
+    Words ignore case, punctuation, spacing and Arabic vowel marks. Null, empty and shorter texts leak nothing; a text of any length is
+    read whole; repeated rows give one row; other columns are not read. The items are a stated query set (at most MAX_ITEMS, checked)
+    and are held against all passages in blocks; passages with fewer than `run` words of the items' vocabulary cannot hold a leak and
+    are skipped. `kinds` names what is looked for.
     """
     spark = documents.sparkSession
     rows = items.select(item_key, text).filter(f"{text} is not null and {item_key} is not null").limit(MAX_ITEMS + 1).collect()
@@ -205,45 +279,50 @@ def leaks(
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in held for w in ws}))}
     if not held:
         return spark.createDataFrame([], schema)
-    numeric = np.array([w.isdecimal() for w in vocabulary])
+    numeric = np.array([w.isdecimal() for w in vocabulary] + [False])
     texts = [np.array([vocabulary[w] for w in ws], dtype=np.int32) for _, ws in held]
-    docs = materialize(_doc_words(documents, doc_key, text, vocabulary, run), "words")
-    idf, basis = latent_basis(docs, len(vocabulary), run, dimensions, SURPLUS)
-    cut = [_passages(t, run) for t in texts]
-    owner, cut = np.repeat(np.arange(len(cut)), [len(c) for c in cut]), np.concatenate(cut)
-    latent = _weigh(cut, idf) @ basis
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    whole = np.full((len(texts), max(map(len, texts))), -2, dtype=np.int32)
-    for i, t in enumerate(texts):
-        whole[i, : len(t)] = t
+    docs = materialize(_doc_words(documents, doc_key, text, vocabulary, run, width), "words")
+    idf, basis = latent_basis(docs, len(vocabulary), run, width, dimensions)
     keys = np.array([k for k, _ in held], dtype=object)
-    grams = np.unique(gram_codes(whole, run))
-    shared = spark.sparkContext.broadcast((idf, basis, cut, owner, latent.T.copy(), whole, keys, numeric, grams[grams != 0]))
+    answers = np.array([numeric[t].any() for t in texts])
+    shared = spark.sparkContext.broadcast((Retrieval(texts, idf, basis, run, width), keys, numeric, answers))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        idf, basis, cut, owner, latent, whole, keys, numeric, grams = shared.value
-        for doc, p in _blocks(batches, run):
-            v = _weigh(p, idf) @ basis
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-            near = v @ latent
-            top = near.argmax(axis=1)
-            out, best = [], near[np.arange(len(p)), top]
-            shares = np.isin(gram_codes(p, run), grams).any(axis=1)  # without a common code there is no common run
-            for i in np.flatnonzero((best >= cosine) & (shares | (best >= paraphrase_cosine))):
-                hits = []
-                if shares[i]:
-                    some = np.unique(owner[near[i] >= cosine])
-                    runs = longest_runs(p[i], whole[some])
-                    hits = np.flatnonzero(runs >= run)
-                    out += [(doc[i], keys[some[h]], "verbatim", int(runs[h])) for h in hits]
-                if not len(hits) and best[i] >= paraphrase_cosine:
-                    like = cut[top[i]]
-                    like = like[like >= 0]
-                    if lcs_length(p[i], like) >= paraphrase_lcs * len(like) and np.isin(like[numeric[like]], p[i]).all():
-                        longest = longest_runs(p[i], whole[owner[top[i]] : owner[top[i]] + 1])
-                        out.append((doc[i], keys[owner[top[i]]], "paraphrase", int(longest[0])))
-            yield pd.DataFrame(out, columns=[doc_key, item_key, "kind", "longest_run"])
+        held, keys, numeric, answers = shared.value
+        for batch in batches:
+            exact: set[tuple[int, int]] = set()
+            like: set[tuple[int, int]] = set()
+            for at, start, p in _blocks(batch, run, width, held.block):
+                i, j, near = held.candidates(p, cosine)
+                hit = held.verbatim(p, i, j)
+                exact |= set(zip(at[i[hit]].tolist(), held.owner[j[hit]].tolist()))
+                if "paraphrase" in kinds:
+                    some = (near >= paraphrase_cosine) & ~hit
+                    i, j = i[some], j[some]
+                    wide = _widened(batch["w"], at, start, p.shape[1], np.unique(i))
+                    theirs = held.cut[j]
+                    enough = lcs_lengths(wide[i], theirs) >= paraphrase_lcs * (theirs >= 0).sum(axis=1)
+                    enough &= numeric[theirs].any(axis=1) | ~answers[held.owner[j]]
+                    i, j, theirs = i[enough], j[enough], theirs[enough]
+                    there = np.ones(len(i), dtype=bool)
+                    for c in range(theirs.shape[1]):
+                        there &= ~numeric[theirs[:, c]] | (wide[i] == theirs[:, c : c + 1]).any(axis=1)
+                    like |= set(zip(at[i[there]].tolist(), held.owner[j[there]].tolist()))
+            out = [(d, o, "verbatim") for d, o in sorted(exact) if "verbatim" in kinds] + [(d, o, "paraphrase") for d, o in sorted(like - exact)]
+            docs_ = batch["k"].to_numpy()
+            longest = [longest_run(np.asarray(batch["w"].iloc[d], dtype=np.int32), held.texts[o]) for d, o, _ in out]
+            yield pd.DataFrame({doc_key: docs_[[d for d, _, _ in out]], item_key: keys[[o for _, o, _ in out]], "kind": [k for _, _, k in out], "longest_run": longest})
 
     found = docs.mapInPandas(search, schema)
-    best = found.groupBy(doc_key, item_key).agg(F.max(F.struct("longest_run", "kind")).alias("b"))
-    return best.select(doc_key, item_key, F.when(F.col("b.longest_run") >= run, "verbatim").otherwise("paraphrase").alias("kind"), "b.longest_run")
+    return found.groupBy(doc_key, item_key).agg(F.max("kind").alias("kind"), F.max("longest_run").cast("int").alias("longest_run"))
+
+
+def _widened(texts: pd.Series, at: np.ndarray, start: np.ndarray, width: int, rows: np.ndarray) -> np.ndarray:
+    """The passages named by `rows` with half a passage of their text on either side, padded with -1; other rows are all -1."""
+    half = width // 2
+    out = np.full((len(at), width + 2 * half), -1, dtype=np.int32)
+    for i in rows:
+        w, a = texts.iloc[at[i]], int(start[i]) - half
+        part = w[max(0, a) : a + out.shape[1]]
+        out[i, max(0, -a) : max(0, -a) + len(part)] = part
+    return out

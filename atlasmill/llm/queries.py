@@ -59,8 +59,13 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
-    return found.filter("kind = 'verbatim'").select("doc_id", "item_id")
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), kinds=("verbatim",)).select("doc_id", "item_id")
+
+
+def p8_paraphrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that reword a passage of an item without holding RUN of its words in a row."""
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), kinds=("paraphrase",))
+    return found.select("doc_id", "item_id", "longest_run")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +73,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:

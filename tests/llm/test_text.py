@@ -3,12 +3,13 @@
 import random
 import string
 
+import numpy as np
 import pytest
 import tiktoken
 
 from atlasmill.llm.bpe import PATTERN, RANKS_PATH, Encoder, encode_corpus
 from atlasmill.llm.confusables import matches_register, skeleton_groups
-from atlasmill.llm.leakage import lcs_length, leaks, longest_runs, words
+from atlasmill.llm.leakage import COSINE, RUN, WIDTH, Retrieval, _Numbers, latent_basis, lcs_lengths, leaks, longest_run, passages, words
 from atlasmill.llm.pii import check_digit, find_pii, mentions, redact
 
 DOC = "doc_id long, text string, item_id long, ids string, k string, kind string"
@@ -95,11 +96,40 @@ def test_leaks_paraphrase_and_empty(spark):
     assert leaks(docs(spark, []), items).count() == 0 and leaks(docs(spark, ["x"]), items.limit(0)).count() == 0
 
 
-def test_runs_and_subsequences():
-    import numpy as np
+def test_rows_come_through_the_latent_space(spark):
+    """With the singular vectors of another corpus, or any fewer that do not carry the wording, the same leaks are no longer retrieved."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 300, 60).astype(np.int32) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t[5:40].tolist()) for i, t in enumerate(texts)], "k long, w array<int>")
+    p = passages(texts[4][5:40], WIDTH, WIDTH - RUN)
+
+    def found(basis):
+        r = Retrieval(texts, idf, basis)
+        i, j, near = r.candidates(p, COSINE)
+        return set(r.owner[j[r.verbatim(p, i, j)]]), len(i)
+
+    idf, basis = latent_basis(docs, 300)
+    one, some = found(basis)
+    assert one == {4} and some < 0.02 * len(p) * 30 * 12
+    foreign = np.linalg.qr(rng.standard_normal((300, 96)))[0][:, :2].astype(np.float32)
+    _, many = found(foreign)
+    assert many > 5 * some, "two directions that mean nothing tell nothing apart"
+    hidden = basis.copy()
+    hidden[texts[4]] = 0
+    assert found(hidden)[0] == set()
+
 
-    a, b = np.array([1, 2, 3, -1, 4, 5]), np.array([[9, 1, 2, 3, 4, 5, -2], [4, 5, 1, -2, -2, -2, -2]])
-    assert longest_runs(a, b).tolist() == [3, 2] and lcs_length(np.array([1, 2, 3, 4]), np.array([1, 3, 9, 4])) == 3
+def test_numbers_remember_spellings():
+    n = _Numbers({"cat": 0, "12": 1, "محمد": 2})
+    for t in ("The CAT, it’s  «مُحَمَّد» １２", "c\u200bat\u00a0cat\tcat-12"):
+        assert n.read(t).tolist() == [n.vocabulary.get(w, -1) for w in words(t)]
+
+
+def test_runs_and_subsequences():
+    a, b = np.array([1, 2, 3, -1, 4, 5]), [np.array([9, 1, 2, 3, 4, 5, -1]), np.array([4, 5, 1])]
+    assert [longest_run(a, x) for x in b] == [3, 2]
+    assert lcs_lengths(np.array([[1, 2, 3, 4], [-1, 5, -1, 6]]), np.array([[1, 3, 9, 4], [5, 6, -1, -1]])).tolist() == [3, 2]
+    assert [len(passages(np.arange(n), 16, 4)) for n in (0, 5, 16, 17, 20, 21)] == [1, 1, 1, 2, 2, 3] and passages(np.arange(17), 16, 4)[1].tolist()[-3:] == [-1, -1, -1]
     assert words("The CAT, it’s  «مُحَمَّد» １２") == ["the", "cat", "it", "s", "محمد", "12"]
 
 
