@@ -1,41 +1,35 @@
 """Same postal address written differently: numbers first, then one rare word, then rarity-weighted overlap and levenshtein.
 
-Addresses are read into few tokens of a kind: building number, street word, street type, district. Words are brought to one form for
-both scripts by a lexicon that is learned from names given in both languages; misspelt ones go to the nearest entry. The pairs
-are then found in SQL: records are blocked on their sorted number tokens plus one rare word, the remaining tokens are intersected.
+Everything but the folding of characters is SQL. An address becomes a sorted array of digit tokens and words; words of both scripts are
+brought to one form by a lexicon that is learned from names given in both languages, misspelt ones by deletion neighbourhoods and
+levenshtein. Records are blocked on their digits plus one rare word, the tokens of a blocked pair are intersected, and the pair is
+accepted by the share of rarity that the two have in common.
 """
 
 from __future__ import annotations
 
-import math
-import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import product
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from atlasmill.functions.visible import skeleton
 from atlasmill.session import materialize
-from atlasmill.tables import FIXED_ROWS
+from atlasmill.tables import small
 
-# Words of addresses in both languages and their kind.
+# Words for kinds of streets in both languages, words before a unit's number, and words that open a landmark.
 TYPES = {
     "street": "street", "str": "street", "st": "street", "شارع": "street", "road": "road", "rd": "road", "tariq": "road", "طريق": "road",
     "lane": "lane", "ln": "lane", "ممر": "lane", "avenue": "avenue", "ave": "avenue", "av": "avenue", "جادة": "avenue",
 }
-BUILDING = frozenset("bldg building no number مبنى عمارة رقم".split())
-UNIT = frozenset("shop suite unit office flat apt floor محل مكتب وحدة شقة معرض دور الدور جناح".split())
-GENERIC = frozenset("riyadh ksa saudi arabia city dist district pc p c po box postcode zip code الرياض رياض حي مدينة السعودية المملكة الرمز رمز البريدي بريدي الحي".split())
-LANDMARK = frozenset("next to near behind opp opposite beside the بجوار قرب خلف مقابل أمام بجانب جنب".split())
-ARTICLES = frozenset("al el ال".split())
+UNIT = "shop suite unit office flat apt floor محل مكتب وحدة شقة معرض دور الدور جناح".split()
+LANDMARK = "next near behind opp opposite beside بجوار قرب خلف مقابل أمام بجانب جنب".split()
+ARTICLES = ("al", "el", "ال")
 # Generic words of shop names, left out when words are paired across languages.
-_SHOP = frozenset("pharmacy drugstore chemist medical stores care night first aid the صيدلية أدوية مستودع الطبي رعاية الليلية إسعاف وصيدلية".split())
-_TOKEN = re.compile(r"\d+|[^\W\d_]+")
-_UNIT_NO = re.compile(r"(?:\b|(?<=\s))(?:" + "|".join(sorted(UNIT)) + r")\.? *(?:no\.? *|رقم *)?\d+[a-z]?")
+_SHOP = "pharmacy drugstore chemist medical stores care night first aid the dar صيدلية أدوية مستودع الطبي رعاية الليلية إسعاف وصيدلية دار".split()
 
 
 class _Plain(dict):
@@ -61,208 +55,180 @@ def plain(text: str | None) -> str:
     return (skeleton(text) or "").casefold().translate(_PLAIN)
 
 
-def _bare(word: str) -> str:
-    """Without the Arabic article."""
-    return word[2:] if word.startswith("ال") and len(word) > 4 else word
-
-
-TYPES, BUILDING, UNIT, GENERIC, LANDMARK = {plain(k): v for k, v in TYPES.items()}, *(frozenset(map(plain, s)) for s in (BUILDING, UNIT, GENERIC, LANDMARK))
-_SHOP = frozenset(map(plain, _SHOP))
-
-
-def distance(a: str, b: str, most: int = 2) -> int:
-    """Edits (swaps of neighbours count one) between two words, or most + 1."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
-            if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        before, row = row, new
-    return min(row[-1], most + 1)
-
-
-def learn_lexicon(pairs: list[tuple[str | None, str | None]]) -> dict[str, str]:
-    """Word of either script -> one form, from names given in both languages, word by word in order; the most frequent partner wins."""
-    votes: dict[str, Counter] = defaultdict(Counter)
-    words: set[str] = set()
-    for en, ar in pairs:
-        e = [w for w in _TOKEN.findall(plain(en)) if w not in _SHOP and w not in ARTICLES and w != "dar"]
-        a = [_bare(w) for w in _TOKEN.findall(plain(ar)) if w not in _SHOP and w != "دار"]
-        words.update(e)
-        if len(e) == len(a):
-            for i, (x, y) in enumerate(zip(e, a)):
-                votes[y][x] += 1
-                if i and y.startswith("و") and len(y) > 3:  # "and"
-                    votes[_bare(y[1:])][x] += 1
-    forms = {w: w for w in words}
-    for y, c in votes.items():
-        x, n = c.most_common(1)[0]
-        if n > 0.5 * c.total():
-            forms[y] = x
-    return forms
-
-
-class Reader:
-    """Reads addresses with a lexicon of words and the districts' names and postcodes."""
-
-    def __init__(self, forms: dict[str, str], districts: list[tuple[str, str | None, str | None, str | None]]) -> None:
-        self.forms, self.cache = dict(forms), {}
-        self.postcodes = {p: d for d, _, _, p in districts if p}
-        self.names: dict[tuple[str, ...], str] = {}
-        for d, en, ar, _ in districts:
-            for name in (en, ar):
-                w = tuple(self.forms.get(_bare(x), _bare(x)) for x in _TOKEN.findall(plain(name)) if x not in ARTICLES)
-                for x in w:
-                    self.forms.setdefault(x, x)
-                if w:
-                    self.names[w] = d
-        self.words = frozenset(self.forms.values())
-        self.by_size: dict[tuple[bool, int], list[str]] = defaultdict(list)
-        for w in sorted(self.forms):
-            self.by_size["؀" <= w[0] <= "ۿ", len(w)].append(w)
-
-    def form(self, word: str) -> tuple[str, ...]:
-        """The lexicon's form of a word; of a misspelt one those of its nearest entries, else the word itself."""
-        w = _bare(word)
-        if w in self.forms:
-            return (self.forms[w],)
-        if w not in self.cache:
-            if len(self.cache) > 100_000:
-                self.cache.clear()
-            arabic, most = "؀" <= w[0] <= "ۿ", 1 if len(w) < 6 else 2
-            near: dict[int, set[str]] = defaultdict(set)
-            for n in range(len(w) - most, len(w) + most + 1):
-                for x in self.by_size.get((arabic, n), ()):
-                    near[distance(w, x, most)].add(self.forms[x])
-            best = min((d for d in near if d <= most), default=None)
-            self.cache[w] = tuple(sorted(near[best])) if best is not None else (w,)
-        return self.cache[w]
-
-    def _districts(self, words: list[str]) -> list[str]:
-        forms = [self.form(w) for w in words if w not in ARTICLES][:4]
-        return sorted({self.names[f] for f in product(*forms) if f in self.names}) if forms else []
-
-    def read(self, text: str | None) -> dict | None:
-        """The parts named in READ of an address that states a building; else None. street and district list what they may mean."""
-        s = plain(text)
-        if not any(c.isdigit() for c in s):
-            return None
-        s = re.sub(r"\b(\d{5})-(\d{4})\b", r"\1", s)
-        s = re.sub(r"p\. ?c\.?", " pc ", s)
-        s = _UNIT_NO.sub(" , ", s)
-        postcode = number = street = kind = None
-        rest: list[list[str]] = []
-        for segment in re.split(r"[,،/;|\n]| - ", s):
-            tokens = _TOKEN.findall(segment)
-            digits = [t for t in tokens if t.isdigit()]
-            for d in digits:
-                if len(d) == 5 and postcode is None:
-                    postcode = d
-                elif len(d) <= 4 and number is None:
-                    number = d.lstrip("0") or None
-            if digits and len(digits) == len(tokens):
-                continue
-            words = [t for t in tokens if not t.isdigit()]
-            at = next((i for i, w in enumerate(words) if w in TYPES), None)
-            landmark = any(w in LANDMARK for w in words) and not digits
-            if landmark:
-                continue
-            if at is None:
-                left = [w for w in words if w not in GENERIC and w not in BUILDING]
-                if left:
-                    rest.append(left)
-                continue
-            arabic = "؀" <= words[at][0] <= "ۿ"
-            name = words[at + 1 : at + 2] if arabic else [w for w in words[:at] if w not in BUILDING and w not in GENERIC and w not in ARTICLES]
-            after = words[at + 2 :] if arabic else words[at + 1 :]
-            after = [w for w in after if w not in GENERIC and w not in BUILDING]
-            if street is None and name:
-                street, kind = sorted(" ".join(f) for f in product(*map(self.form, name[-3:]))), TYPES[words[at]]
-            if after:
-                rest.append(after)
-        if number is None or street is None:
-            return None
-        district = [self.postcodes[postcode]] if postcode in self.postcodes else next((d for r in rest if (d := self._districts(r))), [])
-        words = sorted({w for r in rest for w in r if w not in ARTICLES})
-        return {"number": number, "street": street, "kind": kind, "district": district, "rest": words, "known": all(w in self.words for x in street for w in x.split())}
-
-
-READ = "number string, street array<string>, kind string, district array<string>, rest array<string>, known boolean"
-
-
-def read_addresses(rows: DataFrame, key: str, address: str, reader: Reader) -> DataFrame:
-    """key and the parts of READ of the rows whose address states a building."""
-    shared = rows.sparkSession.sparkContext.broadcast(reader)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["k", *(p.split()[0] for p in READ.split(", "))]
-        for batch in batches:
-            out = [(k, *r.values()) for k, a in zip(batch["k"], batch["a"]) if (r := shared.value.read(a))]
-            yield pd.DataFrame(out, columns=names)
-
-    kind = rows.schema[key].dataType.simpleString()
-    flat = rows.select(F.col(key).alias("k"), F.col(address).cast("string").alias("a")).filter("k is not null and a is not null")
-    return flat.mapInPandas(run, f"k {kind}, {READ}").withColumnRenamed("k", key)
+@F.pandas_udf(StringType())
+def plain_col(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """plain() of a column; null gives ''."""
+    for t in texts:
+        codes, seen = pd.factorize(t)
+        yield pd.Series([*map(plain, seen), ""], dtype=object).take(codes).reset_index(drop=True)
 
 
-def build_reader(districts: DataFrame, register: DataFrame) -> Reader:
-    """A reader whose lexicon comes from the names of districts and shops in both languages.
+def _words(text: Column) -> Column:
+    """Runs of letters without articles, also without the Arabic one that is written on."""
+    bare = F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), F.lit(1)), _bare)
+    return F.filter(bare, lambda w: ~w.isin(*ARTICLES))
+
+
+def _bare(w: Column) -> Column:
+    return F.when(w.startswith("ال") & (F.length(w) > 4), F.substring(w, 3, 1 << 20)).otherwise(w)
 
-    The register is a fixed table. Districts grow a thousand times slower than addresses; their names and postcodes (some 100 bytes
-    each) are held by every reader, and their number is checked against 1 000 000.
-    """
-    names = register.select("name_en", "name_ar").limit(FIXED_ROWS + 1).collect()
-    rows = districts.select("district_id", "name_en", "name_ar", "postcode").filter("district_id is not null").limit(1_000_001).collect()
-    if len(names) > FIXED_ROWS or len(rows) > 1_000_000:
-        raise ValueError("the register or the districts are larger than the reader may hold")
-    forms = learn_lexicon(sorted([(r[0], r[1]) for r in names] + [(r[1], r[2]) for r in rows], key=str))
-    return Reader(forms, sorted(map(tuple, rows), key=str))
 
+def learn_lexicon(names: DataFrame) -> DataFrame:
+    """word, form: words of either script of names (name_en, name_ar) and the one form of each, an English word.
 
-def same_address(rows: DataFrame, key: str, address: str, reader: Reader, overlap: float = 0.9, edits: int = 2) -> DataFrame:
+    Names whose two sides have as many words are paired word by word; an Arabic word takes the partner that most of its pairs have, if that is
+    more than half of them. A leading "and" is tried off as well.
+    """
+    shop = [plain(w) for w in _SHOP]
+    said = names.select(*(F.filter(_words(plain_col(F.col(c))), lambda w: ~w.isin(*shop)).alias(c) for c in ("name_en", "name_ar")))
+    same = said.filter((F.size("name_en") == F.size("name_ar")) & (F.size("name_en") > 0))
+    votes = same.select(F.posexplode(F.arrays_zip("name_en", "name_ar")).alias("i", "p")).select("i", F.col("p.name_en").alias("x"), F.col("p.name_ar").alias("y"))
+    joined = F.col("y").startswith("و") & (F.length("y") > 3) & (F.col("i") > 0)
+    votes = votes.select("x", F.explode(F.array_compact(F.array("y", F.when(joined, _bare(F.substring("y", 2, 1 << 20)))))).alias("y"))
+    counted = votes.groupBy("y", "x").agg(F.count("*").alias("n")).groupBy("y").agg(F.max(F.struct("n", "x")).alias("best"), F.sum("n").alias("all"))
+    arabic = counted.filter(F.col("best.n") > 0.5 * F.col("all")).select(F.col("y").alias("word"), F.col("best.x").alias("form"))
+    english = said.select(F.explode("name_en").alias("word")).distinct()
+    return english.select("word", F.col("word").alias("form")).unionByName(arabic.join(english, "word", "left_anti"))
+
+
+def _holes(word: Column) -> Column:
+    """The word and what is left of it without one letter, or (from six letters on) without two."""
+    without = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substring(w, 1, i - 1), F.substring(w, i + 1, F.lit(1 << 20))))
+    one = without(word)
+    two = F.when(F.length(word) >= 5, F.flatten(F.transform(one, without))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.array(word), one, two))
+
+
+def nearest_forms(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """word, form, known, near: each distinct word with the form of its lexicon entry, else of the nearest entry, else itself (known is false).
+
+    Nearest: at most one edit, two for words of six letters or more, a swap of neighbours counts one; found by equal deletion neighbourhoods, so no
+    word is held against the whole lexicon. If the nearest entries disagree, the word stays itself, and near has what they would make of it.
+    """
+    met = words.join(lexicon.hint("merge"), "word", "left")
+    odd = met.filter("form is null").select("word", F.explode(_holes(F.col("word"))).alias("hole"))
+    near = lexicon.select(F.col("word").alias("entry"), "form").select("entry", "form", F.explode(_holes(F.col("entry"))).alias("hole"))
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    edits = F.levenshtein("word", "entry")
+    edits = F.when((edits == 2) & (letters(F.col("word")) == letters(F.col("entry"))), 1).otherwise(edits)
+    both = odd.join(near.hint("merge"), "hole").select("word", "entry", "form").distinct().withColumn("edits", edits)
+    both = both.filter(F.col("edits") <= F.when(F.length("word") >= 6, 2).otherwise(1))
+    first = both.groupBy("word").agg(F.min("edits").alias("edits"))
+    found = both.join(first.hint("merge"), ["word", "edits"]).groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("near"))
+    rest = met.filter("form is null").select("word").join(found.hint("merge"), "word", "left")
+    sure = F.size("near") == 1
+    rest = rest.select("word", F.when(sure, F.col("near")[0]).otherwise(F.col("word")).alias("form"), F.coalesce(sure, F.lit(False)).alias("known"), F.coalesce("near", F.array().cast("array<string>")).alias("near"))
+    return met.filter("form is not null").select("word", "form", F.lit(True).alias("known"), F.array("form").alias("near")).unionByName(rest)
+
+
+def read_addresses(texts: DataFrame, districts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """text, tokens, digits, word, known, near of the texts (plain, distinct) that state a building.
+
+    tokens: 'n:' and the digits (building numbers, sorted), 's:' the street's word and kind, 'd:' the district, where one is named or has the postcode;
+    word: the street's word; known, near: whether the lexicon has it, and its
+    nearest entries there. A part between commas that opens with a landmark word and has no digit is left out.
+    """
+    unit = r"(?<![\p{L}])(?:" + "|".join(map(plain, UNIT)) + r")\.? *(?:no\.? *|رقم *)?\d+[a-z]?(?![\p{L}\d])"
+    near = r"(?<![\p{L}])(?:" + "|".join(map(plain, LANDMARK)) + r")(?![\p{L}])"
+    s = F.regexp_replace(F.regexp_replace("text", r"\b(\d{5})-\d{4}\b", "$1"), unit, " , ")
+    parts = F.filter(F.split(s, r"[,،/;|\n]| - "), lambda p: p.rlike(r"\d") | ~p.rlike(near))
+    digits = F.regexp_extract_all(s, F.lit(r"(\d+)"), F.lit(1))
+    short = F.transform(F.filter(digits, lambda d: F.length(d) <= 4), lambda d: F.regexp_replace(d, "^0+", ""))
+    kinds = F.create_map(*(F.lit(x) for k, v in TYPES.items() for x in (plain(k), v)))
+    cut = texts.filter(F.col("text").rlike(r"\d")).select(
+        "text", F.array_join(F.array_sort(F.array_distinct(F.filter(short, lambda d: d != ""))), " ").alias("digits"),
+        F.get(F.filter(digits, lambda d: F.length(d) == 5), F.lit(0)).alias("postcode"),
+        F.flatten(F.transform(parts, lambda p: F.concat(_words(p), F.array(F.lit("|"))))).alias("words"),
+    )
+    at = F.array_position(F.transform("words", lambda w: kinds[w].isNotNull()), True).cast("int")
+    name_at = F.when(F.get("words", at - 1).rlike("^[؀-ۿ]"), at + 1).otherwise(at - 1)
+    cut = cut.filter("digits <> ''").withColumns({"type_at": at, "name_at": name_at}).filter((at > 0) & (name_at > 0))
+    cut = cut.withColumns({"kind": kinds[F.get("words", F.col("type_at") - 1)], "spelt": F.get("words", F.col("name_at") - 1)}).filter("spelt is not null and spelt <> '|'")
+    cut = materialize(cut, "cut")
+
+    listed = districts.filter("district_id is not null").select("district_id", "name_en", "name_ar", "postcode")
+    titles = listed.select("district_id", F.posexplode(F.array("name_en", "name_ar")).alias("side", "name")).filter("name is not null")
+    titles = titles.select("district_id", "side", F.posexplode(_words(plain_col("name"))).alias("i", "word"))
+    spelt = cut.select(F.explode(F.array_distinct("words")).alias("word")).unionByName(titles.select("word")).filter("word <> '|'").distinct()
+    forms = materialize(nearest_forms(spelt, lexicon), "forms")
+    by_name = titles.join(forms.hint("merge"), "word").groupBy("district_id", "side").agg(F.array_sort(F.collect_list(F.struct("i", "form"))).alias("f"))
+    by_name = by_name.select(F.array_join("f.form", " ").alias("title"), "district_id").groupBy("title").agg(F.min("district_id").alias("named"))
+    by_code = listed.filter("postcode is not null").groupBy(plain_col("postcode").alias("postcode")).agg(F.min("district_id").alias("coded"))
+
+    coded = cut.join(small(by_code), "postcode", "left")
+    words = coded.select("text", "coded", "name_at", F.posexplode("words").alias("i", "word")).filter("word <> '|' and (coded is null or i = name_at - 1)")
+    said = words.join(forms.hint("merge"), "word").groupBy("text").agg(F.array_sort(F.collect_list(F.struct("i", "form", "known", "near"))).alias("f"))
+    read = materialize(coded.join(said.hint("merge"), "text"), "said")
+    street = F.get(F.filter("f", lambda x: x["i"] == F.col("name_at") - 1), F.lit(0))
+    read = read.withColumns({"word": street["form"], "known": street["known"], "near": street["near"]})
+    rest = F.filter("f", lambda x: ~x["i"].isin(F.col("name_at") - 1, F.col("type_at") - 1))
+    run = lambda n: F.transform("rest", lambda x, j: F.struct(F.lit(n).alias("n"), (-j).alias("j"), F.array_join(F.slice("rest", j + 1, n), " ").alias("title")))
+    titled = read.filter("coded is null").select("text", rest["form"].alias("rest")).select("text", F.inline(F.concat(*map(run, (1, 2, 3, 4)))))
+    titled = titled.join(small(by_name), "title")
+    titled = titled.groupBy("text").agg(F.max(F.struct("n", "j", "named"))["named"].alias("named"))
+    read = read.join(titled.hint("merge"), "text", "left").withColumn("district", F.coalesce("coded", "named"))
+    tokens = F.array_compact(F.array(F.concat(F.lit("n:"), "digits"), F.concat(F.lit("s:"), "word", F.lit("|"), "kind"), F.concat(F.lit("d:"), "district")))
+    return read.select("text", tokens.alias("tokens"), "digits", "word", "known", "near", "district")
+
+
+def token_weights(classes: DataFrame) -> DataFrame:
+    """class, weights (map token -> rarity): the logarithm of one and how many times fewer addresses hold the token than there are; counted over all rows."""
+    one = classes.select("class", "n", F.explode("tokens").alias("token"))
+    total = classes.agg(F.sum("n").alias("total"))
+    seen = one.groupBy("token").agg(F.sum("n").alias("df"))
+    weighed = one.join(seen.hint("merge"), "token").crossJoin(F.broadcast(total))  # one row
+    return weighed.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("token", F.log(1 + F.col("total") / F.col("df"))))).alias("weights"))
+
+
+def same_address(rows: DataFrame, key: str, address: str, districts: DataFrame, names: DataFrame, overlap: float = 0.95, edits: int = 2, weigh=token_weights) -> DataFrame:
     """id_a < id_b, overlap: pairs of keys whose addresses state one building: same number, street and district.
 
-    Block 1 is the building number with the street word (each of its possible readings); block 2, for streets no reading was found of,
-    the number with the district. Within a block the remaining tokens are intersected: the weight of a token is the logarithm of how many
-    values its kind has, and the weight of what both sides share must reach `overlap` of what both state; street words outside the lexicon
-    may differ by `edits` (levenshtein). A district that one side does not state counts as the same only if the words left over agree, or
-    if that number and street occur in one district alone. Units, shops, additional numbers and landmarks are not looked at. Null and
-    blank addresses and those without a building number or a street are in no pair; repeated rows of a key count once; a key pairs
-    with no second address of its own. The result has as many rows as there are pairs.
+    districts: district_id, name_en, name_ar, postcode; names: name_en, name_ar, from which (and from the districts) words are paired across languages.
+    Addresses with equal tokens form a class. Classes are blocked on their sorted digits plus one rare word: the street's, and for streets that the lexicon
+    does not know, the district. The tokens of a blocked pair are intersected; street words left over, one of them unknown, count as shared if at most
+    `edits` (and a third of their letters) apart, or if their nearest entries in the lexicon meet. What is shared must have `overlap` of the rarity (weigh) of the side that states less. A district
+    that one side does not state counts as the same only if that number and street occur in one district alone; two stated districts of
+    little rarity must still be equal. Units, shops, additional numbers and landmarks are not looked at. Null and blank addresses and those
+    without a building number or a street are in no pair; repeated rows of a key count once; a key pairs with no second address of its
+    own; other columns are not read. Pairs of classes are expanded to pairs of keys last; the result has as many rows as there are pairs.
     """
-    read = materialize(read_addresses(rows, key, address, reader).withColumnRenamed(key, "k"), "addresses")
-    kinds = read.agg(
-        F.approx_count_distinct("number").alias("number"), F.approx_count_distinct(F.col("street")[0]).alias("street"),
-        F.approx_count_distinct("kind").alias("kind"), F.approx_count_distinct(F.get("district", F.lit(0))).alias("district"),
-    ).first()
-    w = {k: math.log(1 + (kinds[k] or 0)) for k in ("number", "street", "kind", "district")}
-    one = Window.partitionBy("number", "word")
-    only = F.get("district", F.lit(0))
-    side = read.select("*", F.explode("street").alias("word")).withColumn("lone", F.coalesce(F.min(only).over(one) == F.max(only).over(one), F.lit(True)))
-    a, b = side.alias("a"), side.alias("b")
-    by_street = a.join(b.hint("merge"), (F.col("a.number") == F.col("b.number")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.k") < F.col("b.k")))
-    odd = read.filter("not known").select("*", F.explode("district").alias("word"), F.lit(False).alias("lone"))
-    all_ = read.select("*", F.explode("district").alias("word"), F.lit(False).alias("lone"))
-    by_district = odd.alias("a").join(all_.alias("b").hint("merge"), (F.col("a.number") == F.col("b.number")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.k") != F.col("b.k")))
-    by_district = by_district.filter(~F.arrays_overlap("a.street", "b.street"))
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        close = F.exists("a.street", lambda x: F.exists("b.street", lambda y: (F.levenshtein(x, y) <= edits) & (F.levenshtein(x, y) * 3 <= F.length(y))))
-        street = F.arrays_overlap("a.street", "b.street") | (~(F.col("a.known") & F.col("b.known")) & close)
-        both = (F.size("a.district") > 0) & (F.size("b.district") > 0)
-        left = F.array_intersect("a.rest", "b.rest")
-        district = F.when(both, F.arrays_overlap("a.district", "b.district")).otherwise(
-            (F.size(left) > 0) & (F.size(left) >= F.least(F.size("a.rest"), F.size("b.rest"))) | F.col("a.lone") & F.col("b.lone")
-        )
-        shared = w["number"] + F.when(street, w["street"]).otherwise(0) + F.when(F.col("a.kind") == F.col("b.kind"), w["kind"]).otherwise(0) + F.when(district, w["district"]).otherwise(0)
-        return pairs.filter(street & district & (F.col("a.kind") == F.col("b.kind"))).select(
-            F.least("a.k", "b.k").alias("id_a"), F.greatest("a.k", "b.k").alias("id_b"), (shared / (sum(w.values()) or 1.0)).alias("overlap")
-        )
-
-    found = scored(by_street).unionByName(scored(by_district)).filter(F.col("overlap") >= overlap)
-    return found.groupBy("id_a", "id_b").agg(F.max("overlap").alias("overlap"))
+    lexicon = materialize(learn_lexicon(names.select("name_en", "name_ar").unionByName(districts.select("name_en", "name_ar"))), "lexicon")
+    flat = rows.select(F.col(key).alias("k"), F.col(address).cast("string").alias("a")).filter("k is not null and a is not null")
+    flat = materialize(flat.select("k", plain_col("a").alias("text")).filter(F.col("text").rlike(r"\d")), "plain")
+    read = read_addresses(flat.select("text").distinct(), districts, lexicon)
+    members = materialize(flat.join(read.hint("merge"), "text").withColumn("class", F.xxhash64("tokens")).drop("text").distinct(), "members")
+    one = Window.partitionBy("digits", "word")
+    classes = members.groupBy("class", "tokens", "digits", "word", "known", "near", "district").agg(F.count("*").alias("n"))
+    classes = classes.withColumn("lone", F.coalesce(F.min("district").over(one) == F.max("district").over(one), F.lit(True)))
+    classes = materialize(classes.join(weigh(classes).hint("merge"), "class"), "classes")
+
+    a, b = classes.alias("a"), classes.alias("b")
+    by_street = a.join(b.hint("merge"), (F.col("a.digits") == F.col("b.digits")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.class") < F.col("b.class")))
+    odd = classes.filter("not known and district is not null")
+    by_district = odd.alias("a").join(b.hint("merge"), (F.col("a.digits") == F.col("b.digits")) & (F.col("a.district") == F.col("b.district")) & (F.col("a.word") != F.col("b.word")))
+    by_district = by_district.filter(F.col("b.known") | (F.col("a.class") < F.col("b.class")))
+
+    def total(of: Column, weights: Column) -> Column:
+        return F.aggregate(of, F.lit(0.0), lambda t, x: t + weights[x])
+
+    def accepted(pairs: DataFrame) -> DataFrame:
+        shared = F.array_intersect("a.tokens", "b.tokens")
+        left, right = (F.filter(F.array_except(x, y), lambda t: t.startswith("s:")) for x, y in (("a.tokens", "b.tokens"), ("b.tokens", "a.tokens")))
+        x, y = F.get(left, F.lit(0)), F.get(right, F.lit(0))
+        apart = F.levenshtein("a.word", "b.word")
+        close = (F.substring_index(x, "|", -1) == F.substring_index(y, "|", -1)) & (((apart <= edits) & (apart * 3 <= F.length("b.word"))) | F.arrays_overlap("a.near", "b.near"))
+        spelt = F.when(~(F.col("a.known") & F.col("b.known")) & close, F.least(F.col("a.weights")[x], F.col("b.weights")[y])).otherwise(0.0)
+        least = F.least(total(F.col("a.tokens"), F.col("a.weights")), total(F.col("b.tokens"), F.col("b.weights")) + F.lit(0.0))
+        scored = pairs.withColumn("overlap", F.least(F.lit(1.0), (total(shared, F.col("a.weights")) + spelt) / least)).filter(F.col("overlap") >= overlap)
+        place = F.coalesce(F.col("a.district") == F.col("b.district"), F.col("a.lone") & F.col("b.lone"))
+        return scored.filter(place).select(F.col("a.class").alias("ca"), F.col("b.class").alias("cb"), "overlap")
+
+    alike = accepted(by_street).unionByName(accepted(by_district)).groupBy("ca", "cb").agg(F.max("overlap").alias("overlap"))
+    who = members.select("k", "class")
+    across = alike.join(who.select(F.col("class").alias("ca"), F.col("k").alias("ka")).hint("merge"), "ca").join(who.select(F.col("class").alias("cb"), F.col("k").alias("kb")).hint("merge"), "cb")
+    firm = classes.filter("(district is not null or lone) and n > 1").select("class")
+    inner = who.join(firm.hint("merge"), "class")
+    within = inner.alias("a").join(inner.alias("b").hint("merge"), (F.col("a.class") == F.col("b.class")) & (F.col("a.k") < F.col("b.k")))
+    within = within.select(F.col("a.k").alias("id_a"), F.col("b.k").alias("id_b"), F.lit(1.0).alias("overlap"))
+    across = across.filter("ka <> kb").select(F.least("ka", "kb").alias("id_a"), F.greatest("ka", "kb").alias("id_b"), "overlap")
+    return within.unionByName(across).groupBy("id_a", "id_b").agg(F.max("overlap").alias("overlap"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmill.llm import sql_text
-from atlasmill.llm.addresses import build_reader, same_address
+from atlasmill.llm.addresses import same_address
 from atlasmill.llm.bpe import encode_corpus
 from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.leakage import leaks
@@ -50,8 +50,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = build_reader(table(spark, sf_dir, "districts"), table(spark, sf_dir, "name_register"))
-    return same_address(_current(spark, sf_dir, ["address"]), "id", "address", reader).select("id_a", "id_b")
+    found = same_address(_current(spark, sf_dir, ["address"]), "id", "address", table(spark, sf_dir, "districts"), table(spark, sf_dir, "name_register"))
+    return found.select("id_a", "id_b")
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from atlasmill.llm.addresses import Reader, distance, learn_lexicon, same_address
+from atlasmill.llm.addresses import learn_lexicon, nearest_forms, plain, read_addresses, same_address, token_weights
 from atlasmill.llm.matching import core_name, fit_logistic, match_records, phone_number, skip_gram
 from atlasmill.llm.survivors import quality_model, survivors
 
@@ -58,35 +58,56 @@ DISTRICTS = [("d1", "Burj Al Shaheen", "برج الشاهين", "42886"), ("d2",
 NAMES = [("Kawthar Pharmacy", "صيدلية كوثر"), ("Raihan Misk Pharmacy", "صيدلية ريحان ومسك"), ("Mishkat Pharmacy", "صيدلية مشكاة"), ("Al Zaytun Pharmacy", "صيدلية الزيتون")]
 
 
-def reader():
-    return Reader(learn_lexicon(NAMES + [(a, b) for _, a, b, _ in DISTRICTS]), DISTRICTS)
+def place_tables(spark):
+    districts = spark.createDataFrame(DISTRICTS, "district_id string, name_en string, name_ar string, postcode string")
+    return districts, spark.createDataFrame(NAMES, "name_en string, name_ar string")
 
 
-def test_address_reading():
-    assert distance("mishkta", "mishkat") == 1 and distance("abc", "xyz") == 3
-    r = reader()
-    want = ("8539", ["raihan"], "street", ["d1"])
-    for text in (
-        "P.C. 42886, 8539 Raihan St.", "8539 raihan street burj al shaheen riyadh 42886", "BURJ AL SHAHEEN DISTRICT / RAIHAN STREET / 8539 / 42886", "Shop 33, 8539 Rihan Street, Burj Al Shaheen, Riyadh, KSA 42886",
-        "Bldg 8539, Raihan St, Burj Al Shahen, Riyadh 42886-3597", "Raihan St No. 8539, Burj Al Shaheen, Riyadh", "Riyadh 42886, Burj Al Shaheen District, Raihan Str. 8539", "مبنى رقم ٨٥٣٩، شارع ريحان، الرمز البريدي ٤٢٨٨٦",
-        "الرياض - حي برج الشاهين - شارع ريحان - مبنى 8539", "8539 شارع ريحان، حي برج الشاهين، الرياض 42886‏", "next to the post office, 8539 Raihan St, Burj Al Shaheen 42886", "  8539  Raihan  Street, Burj  Al  Shaheen Dist., Riyadh 42886\t",
-    ):
-        got = r.read(text)
-        assert got and (got["number"], got["street"], got["kind"], got["district"]) == want, (text, got)
-    for text in (None, "", " ", "Riyadh 42886", "Raihan Street, Riyadh", "حي برج الشاهين، الرياض", "near the metro stop", "x" * 100_000):
-        assert r.read(text) is None
+def test_lexicon_and_nearest_entries(spark):
+    districts, names = place_tables(spark)
+    lexicon = learn_lexicon(names.unionByName(districts.select("name_en", "name_ar")))
+    forms = dict(tuple(r) for r in lexicon.collect())
+    assert forms["كوثر"] == "kawthar" and forms["مسك"] == "misk" and forms["برج"] == "burj" and forms["raihan"] == "raihan" and "صيدليه" not in forms
+    words = spark.createDataFrame([(w,) for w in ("mishkta", "rihan", "كوثر", "كوتر", "unheard", "x")], "word string")
+    got = {r["word"]: (r["form"], r["known"]) for r in nearest_forms(words, lexicon).collect()}
+    assert got == {"mishkta": ("mishkat", True), "rihan": ("raihan", True), "كوثر": ("kawthar", True), "كوتر": ("kawthar", True), "unheard": ("unheard", False), "x": ("x", False)}
+    assert nearest_forms(words, lexicon.limit(0)).filter("known").count() == 0
+
+
+SAME = (
+    "P.C. 42886, 8539 Raihan St.", "8539 raihan street burj al shaheen riyadh 42886", "BURJ AL SHAHEEN DISTRICT / RAIHAN STREET / 8539 / 42886", "Shop 33, 8539 Rihan Street, Burj Al Shaheen, Riyadh, KSA 42886",
+    "Bldg 8539, Raihan St, Burj Al Shahen, Riyadh 42886-3597", "Raihan St No. 8539, Burj Al Shaheen, Riyadh", "Riyadh 42886, Burj Al Shaheen District, Raihan Str. 8539", "مبنى رقم ٨٥٣٩، شارع ريحان، الرمز البريدي ٤٢٨٨٦",
+    "الرياض - حي برج الشاهين - شارع ريحان - مبنى 8539", "8539 شارع ريحان، حي برج الشاهين، الرياض 42886‏", "next to the post office, 8539 Raihan St, Burj Al Shaheen 42886", "  8539  Raihan  Street, Burj  Al  Shaheen Dist., Riyadh 42886\t",
+)
+NOT = ("", " ", "Riyadh 42886", "Raihan Street, Riyadh", "حي برج الشاهين، الرياض", "near the metro stop", "x" * 100_000, "12 " * 20_000, "street")
+
+
+def test_address_reading(spark):
+    districts, names = place_tables(spark)
+    lexicon = learn_lexicon(names.unionByName(districts.select("name_en", "name_ar")))
+    texts = spark.createDataFrame([(plain(t),) for t in SAME + NOT], "text string").distinct()
+    got = {r["text"]: r for r in read_addresses(texts, districts, lexicon).collect()}
+    assert set(got) == {plain(t) for t in SAME}
+    assert {tuple(r["tokens"]) for r in got.values()} == {("n:8539", "s:raihan|street", "d:d1")}
 
 
 def test_same_address(spark):
     rows = [
         ("a", "P.C. 42886, 8539 Raihan St."), ("b", "مبنى رقم ٨٥٣٩، شارع ريحان، الرمز البريدي ٤٢٨٨٦"), ("c", "8539 Raihan Street, Wadi Al Rawasi, Riyadh 21768"), ("d", "8539 Misk Street, Burj Al Shaheen 42886"),
         ("e", "8539 Raihan Road, Burj Al Shaheen 42886"), ("f", "Raihan Street, Burj Al Shaheen"), ("g", None), ("h", ""), ("i", "8539 Raehan Str, Burj Al Shaheen 42886"), ("a", "P.C. 42886, 8539 Raihan St."), (None, "P.C. 42886, 8539 Raihan St."),
-        ("j", "12 Kawthar Lane, Al Zaytun 60730"), ("k", "12 Kawthar Ln, الزيتون"),
+        ("j", "12 Kawthar Lane, Al Zaytun 60730"), ("k", "12 Kawthar Ln, الزيتون"), ("l", "12 Kawthar Ln"), ("m", "77 Qwertz Street, Al Zaytun 60730"), ("n", "77 Qwerts Street, Al Zaytun 60730"), ("o", "77 Qabcn Street, Al Zaytun 60730"),
     ]
     df = spark.createDataFrame([(k, a, "s", "n", "w") for k, a in rows], "id string, address string, street string, number string, word string")
-    got = {(r["id_a"], r["id_b"]) for r in same_address(df, "id", "address", reader()).collect()}
-    assert got == {("a", "b"), ("a", "i"), ("b", "i"), ("j", "k")}
-    assert same_address(df.limit(0), "id", "address", reader()).count() == 0
+    pairs = lambda **kw: {(r["id_a"], r["id_b"]) for r in same_address(df, "id", "address", *place_tables(spark), **kw).collect()}
+    want = {("a", "b"), ("a", "i"), ("b", "i"), ("j", "k"), ("j", "l"), ("k", "l"), ("m", "n")}
+    assert pairs() == want
+    assert pairs(overlap=0.1) > want, "the weights reject pairs of a block"
+    one = lambda classes: token_weights(classes).withColumn("weights", F.transform_values("weights", lambda t, w: F.when(t.startswith("d:"), 1.0).otherwise(0.0)))
+    assert pairs(weigh=one) != want, "with all weight on the district, kinds of streets tell nothing apart"
+    assert same_address(df.limit(0), "id", "address", *place_tables(spark)).count() == 0
+    districts, names = place_tables(spark)
+    bare = same_address(df, "id", "address", districts.limit(0), names.limit(0))
+    assert ("a", "b") not in {(r["id_a"], r["id_b"]) for r in bare.collect()}
 
 
 def test_names_and_phones():
