@@ -219,7 +219,7 @@ def same_address(rows: DataFrame, key: str, address: str, districts: DataFrame,
         close = (F.substring_index(x, "|", -1) == F.substring_index(y, "|", -1)) & (((apart <= edits) & (apart * 3 <= F.length("b.word"))) | F.arrays_overlap("a.near", "b.near"))
         spelt = F.when(~(F.col("a.known") & F.col("b.known")) & close, F.least(F.col("a.weights")[x], F.col("b.weights")[y])).otherwise(0.0)
         least = F.least(total(F.col("a.tokens"), F.col("a.weights")), total(F.col("b.tokens"), F.col("b.weights")) + F.lit(0.0))
-        scored = pairs.withColumn("overlap", F.least(F.lit(1.0), (total(shared, F.col("a.weights")) + spelt) / least)).filter(F.col("overlap") >= overlap)
+        scored = pairs.withColumn("overlap", F.least(F.lit(1.0), F.try_divide(total(shared, F.col("a.weights")) + spelt, least))).filter(F.col("overlap") >= overlap)
         place = F.coalesce(F.col("a.district") == F.col("b.district"), F.col("a.lone") & F.col("b.lone"))
         return scored.filter(place).select(F.col("a.class").alias("ca"), F.col("b.class").alias("cb"), "overlap")
 

@@ -12,7 +12,7 @@ from atlasmill.llm.confusables import matches_register
 from atlasmill.llm.leakage import leaks
 from atlasmill.llm.matching import match_records
 from atlasmill.llm.pii import mentions
-from atlasmill.llm.survivors import survivors
+from atlasmill.llm.survivors import survivors, true_values
 from atlasmill.tables import current_rows, table
 
 
@@ -32,21 +32,27 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches_register(now, "id", table(spark, sf_dir, "name_register"), "name_id", ["name_en", "name_ar"])
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dominant survivor of name_ar (members of both tables) and of hours (members of the second)."""
+def _field_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of merge_groups with their name_ar (both tables) and hours (the second)."""
     groups = table(spark, sf_dir, "merge_groups").select(F.col("entity_id").alias("group"), "source_key").distinct()
     key = F.concat_ws(":", "source", "id").alias("source_key")
-    now = _current(spark, sf_dir, ["source", "harvested_at", "name_ar"]).select(key, "source", "harvested_at", F.col("name_ar").alias("value"))
+    now = _current(spark, sf_dir, ["source", "harvested_at", "name_ar"])
     alt = table(spark, sf_dir, "riyadh_pharmacies_alt").filter("id is not null")
-    name = now.unionByName(alt.select(key, "source", "harvested_at", F.col("name_ar").alias("value"))).filter("value is not null")
-    hours = alt.select(key, "source", "harvested_at", F.col("hours").alias("value")).filter("value is not null")
-    sources = table(spark, sf_dir, "sources")
-    out = None
-    for field, rows in (("name_ar", name), ("hours", hours)):
-        best = survivors(rows.join(groups.hint("merge"), "source_key"), field, sources).filter("dominant")
-        best = best.select(F.col("group").alias("entity_id"), "field_name", "source_key")
-        out = best if out is None else out.unionByName(best)
-    return out
+    parts = [t.select(key, "source", "harvested_at", F.lit(f).alias("field"), F.col(f).alias("value")) for t, f in ((now, "name_ar"), (alt, "name_ar"), (alt, "hours"))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).filter("value is not null")
+    return rows.join(groups.hint("merge"), "source_key")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dominant survivor of name_ar (members of both tables) and of hours (members of the second)."""
+    best = survivors(_field_members(spark, sf_dir), table(spark, sf_dir, "sources")).filter("dominant")
+    return best.select(F.col("group").alias("entity_id"), "field_name", "source_key")
+
+
+def p5_true_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of a group's field that the model judges true."""
+    kept = true_values(_field_members(spark, sf_dir), table(spark, sf_dir, "sources"))
+    return kept.select(F.col("group").alias("entity_id"), "field_name", "value")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +79,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_true_values": p5_true_values, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:

@@ -8,32 +8,51 @@ from pyspark.sql import functions as F
 
 from atlasmill.llm.addresses import learn_lexicon, nearest_forms, plain, read_addresses, same_address, token_weights
 from atlasmill.llm.matching import core_name, fit_logistic, match_records, phone_number, skip_gram
-from atlasmill.llm.survivors import quality_model, survivors
+from atlasmill.llm.survivors import credible_texts, quality_model, survivors, true_values
 
 T = dt.datetime(2026, 1, 1)
-MEMBER = "group string, source_key string, source string, harvested_at timestamp, value string, skeleton string, weight double, p_true double"
+MEMBER = "group string, field string, source_key string, source string, harvested_at timestamp, value string, skeleton string, weight double, p_true double, text string"
 
 
-def members(spark, rows):
-    return spark.createDataFrame([(g, k, s, T + dt.timedelta(days=d) if d is not None else None, v, "x", 9.0, 9.0) for g, k, s, d, v in rows], MEMBER)
+def members(spark, rows, field="name_ar"):
+    return spark.createDataFrame([(g, field, k, s, T + dt.timedelta(days=d) if d is not None else None, v, "x", 9.0, 9.0, "t") for g, k, s, d, v in rows], MEMBER)
+
+
+SHOPS = "نخيل كوثر رمال مشكاة زيتون فنار سلوان بدرية جمانة وسام حكمة ليان سحاب رواد قنديل غيمة".split()
+
+
+def confirmed(n=16):
+    """Groups whose members agree but for one that holds the same stand-in in each."""
+    rows = []
+    for i in range(n):
+        name = f"صيدلية {SHOPS[i % 16]} و{SHOPS[(i + 3) % 16]}"
+        rows += [(f"c{i}", f"lo:c{i}", "lo", 1, name), (f"c{i}", f"mid:c{i}", "mid", 2, name.replace("ي", "يي", 1)), (f"c{i}", f"hi:c{i}", "hi", 9, "غير معروف")]
+    return rows
 
 
 def test_survivors(spark):
     sources = spark.createDataFrame([("hi", 0.9), ("lo", 0.4), ("none", None), ("mid", 0.5)], "name string, reliability_weight double")
-    rows = members(spark, [
+    rows = members(spark, confirmed() + [
         ("win", "hi:1", "hi", 2, "صيدلية نخيل"), ("win", "lo:1", "lo", 1, "صيدلية النخيل"), ("win", "lo:2", "lo", 9, "TBD"),
         ("late", "hi:1", "hi", 1, "اسم واحد"), ("late", "lo:1", "lo", 2, "اسم اثنان"), ("only", "lo:1", "lo", None, "اسم ثلاثة"), ("only", "hi:1", "hi", 3, "غير معروف"),
         ("tie", "mid:1", "mid", 2, "اسم اربعة"), ("tie", "none:1", "none", 1, "اسم اربعة"), ("date", "hi:1", "hi", 1, "اسم خمسة"), ("date", "lo:1", "lo", 1, "اسم خمسة"),
         ("odd", "hi:1", "hi", 2, "ﺻﻴﺪﻟﻴﺔ"), ("odd", "hi:1", "hi", 2, "ﺻﻴﺪﻟﻴﺔ ﻧﺨﻴﻞ"), ("blank", "hi:1", "hi", 1, " ​"), ("blank", "lo:1", "lo", 1, None), (None, "hi:1", "hi", 1, "اسم"),
         ("dup", "hi:1", "hi", 3, "اسم ستة"), ("dup", "hi:1", "hi", 3, "اسم ستة"), ("dup", "lo:1", "lo", 1, "اسم ستة"),
     ])
-    got = {r["group"]: r for r in survivors(rows, "name_ar", sources).collect()}
-    assert {g for g, r in got.items() if r["dominant"]} == {"win", "only", "odd", "dup"}
-    assert set(got) == {"win", "late", "only", "tie", "date", "odd", "dup"}
+    got = {r["group"]: r for r in survivors(rows, sources).collect()}
+    assert {g for g, r in got.items() if r["dominant"]} == {"win", "only", "odd", "dup", *(f"c{i}" for i in range(16))}
+    assert set(got) == {"win", "late", "only", "tie", "date", "odd", "dup", *(f"c{i}" for i in range(16))}
     assert got["win"]["source_key"] == "hi:1" and got["only"]["source_key"] == "lo:1" and got["dup"]["source_key"] == "hi:1"
-    assert survivors(rows.limit(0), "name_ar", sources).count() == 0
-    hours = members(spark, [("g", "hi:1", "hi", 2, "24/7"), ("g", "lo:1", "lo", 1, "--:-- - --:--"), ("g", "lo:2", "lo", 5, "ask in store")])
-    assert [(r["source_key"], r["dominant"]) for r in survivors(hours, "hours", sources.limit(0)).collect()] == [("hi:1", True)]
+    assert all(got[f"c{i}"]["source_key"] == f"mid:c{i}" for i in range(16)), "the stand-in was recognised without a list of words"
+    every = lambda claims, rounds: credible_texts(claims, rounds).withColumn("credible", F.lit(1.0))
+    blind = {r["group"]: r["source_key"] for r in survivors(rows, sources, judge=every).collect()}
+    assert blind["only"] == "hi:1" and blind["c0"] == "hi:c0", "without the posterior the stand-ins survive"
+    assert survivors(rows.limit(0), sources).count() == 0 and true_values(rows.limit(0), sources).count() == 0
+    kept = {(r["group"], r["value"]) for r in true_values(rows, sources).collect()}
+    assert ("late", "اسم واحد") in kept and ("c0", "غير معروف") not in kept
+    hours = members(spark, [(f"h{i}", f"{s}:{i}", s, d, v) for i in range(9) for s, d, v in (("hi", 2, "24/7"), ("lo", 1, f"0{i}:00-22:00"), ("mid", 5, "ask in store"))], "hours")
+    assert not any(r["dominant"] for r in survivors(hours, sources.limit(0)).collect())
+    assert {r["source_key"] for r in survivors(hours, sources).filter("dominant").collect()} == {f"hi:{i}" for i in range(9)}, "values that nobody confirms are kept where nothing is confirmed"
 
 
 def test_quality_model_finds_the_liar_and_keeps_two_truths(spark):
@@ -48,10 +67,10 @@ def test_quality_model_finds_the_liar_and_keeps_two_truths(spark):
         claims.append((f"g{i}", "f", f"lie{rng.randrange(9)}", "liar"))
     df = spark.createDataFrame(claims, "group string, field string, value string, source string")
     judged, quality = quality_model(df, rounds=8)
-    p = {(r["group"], r["value"]): r["p_true"] for r in judged.collect()}
+    p = {(r["group"], r["value"]): r["llr"] for r in judged.collect()}
     truths, lies = [v for k, v in p.items() if not k[1].startswith("lie")], [v for k, v in p.items() if k[1].startswith("lie")]
-    assert np.mean([v > 0.5 for v in truths]) > 0.9 and np.mean([v < 0.5 for v in lies]) > 0.9
-    assert quality["liar"][1] < min(quality[s][1] for s in ("good1", "good2", "good3"))
+    assert np.mean([v > 0 for v in truths]) > 0.9 and np.mean([v < 0 for v in lies]) > 0.9
+    assert quality["f", "liar"][1] < min(quality["f", s][1] for s in ("good1", "good2", "good3"))
 
 
 DISTRICTS = [("d1", "Burj Al Shaheen", "برج الشاهين", "42886"), ("d2", "Al Zaytun", None, "60730"), ("d3", "Wadi Al Rawasi", "وادي الرواسي", "21768")]
