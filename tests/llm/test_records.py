@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from atlasmill.llm.addresses import learn_lexicon, nearest_forms, plain, read_addresses, same_address, token_weights
-from atlasmill.llm.matching import core_name, fit_logistic, match_records, phone_number, skip_gram
+from atlasmill.llm.matching import BUCKETS, DIM, Names, calibrate_cosine, candidates, core_name, fit_logistic, match_records, mend_places, phone_number, skip_gram, trigrams
 from atlasmill.llm.survivors import credible_texts, quality_model, survivors, true_values
 
 T = dt.datetime(2026, 1, 1)
@@ -165,6 +165,58 @@ def shops(spark, n, groups):
     return spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), spark.createDataFrame(labels, "entity_id string, source_key string"), pairs
 
 
+def test_places_are_mended_by_where_most_rows_lie(spark):
+    rng = random.Random(2)
+    rows = [(f"c{i}", 24.6 + rng.random() * 0.3, 46.6 + rng.random() * 0.3) for i in range(900)] + [(f"t{i}", 27.7 + rng.random() * 0.1, 49.7 + rng.random() * 0.1) for i in range(9)]
+    rows += [(f"s{i}", 46.7, 24.7) for i in range(20)] + [("scaled", 247.1, 46.7), ("zero", 0.0, 0.0), ("far", 999.0, 46.7), ("null", None, 46.7), ("nan", float("nan"), 1.0), ("lonely", -33.0, 151.0)]
+    got = {r["k"]: (r["y"], r["x"]) for r in mend_places(spark.createDataFrame(rows, "k string, lat double, lon double")).collect()}
+    assert all(got[f"t{i}"] == (rows[900 + i][1], rows[900 + i][2]) for i in range(9)), "a town of one in a hundred rows stays where it is"
+    assert got["lonely"] == (-33.0, 151.0) and all(got[f"s{i}"] == (24.7, 46.7) for i in range(20))
+    assert got["scaled"] == (24.71, 46.7)
+    assert all(got[k] == (None, None) for k in ("zero", "far", "null", "nan"))
+    assert mend_places(spark.createDataFrame([], "k string, lat double, lon double")).count() == 0
+
+
+def test_a_second_town_and_a_shared_phone_lose_no_pairs(spark):
+    left, right, groups, want = shops(spark, 700, 300)
+    town = [f"{i}" for i in range(640, 650)]  # one and a half in a hundred
+    moved = F.substring("id", 2, 9).isin(*town)
+    away = lambda d, phones: d.withColumns({"lat": F.when(moved & (F.col("lat") < 40), F.col("lat") + 3).when(moved, F.col("lat") + 3).otherwise(F.col("lat")), "lon": F.when(moved, F.col("lon") + 3).otherwise(F.col("lon")), "phone": F.when(moved & F.lit(not phones), None).otherwise(F.col("phone"))})
+    for phones in (True, False):
+        got = {(r["id"], r["alt_id"]) for r in match_records(away(left, phones), away(right, phones), groups).collect()}
+        kept = {(f"l{t}", f"r{t}") for t in town if phones or int(t) % 11} & want
+        assert len(kept & got) >= 0.95 * len(kept), (phones, kept - got)
+    centre = lambda d: d.withColumn("phone", F.when(F.substring("id", 2, 9).cast("int") % 5 == 0, "920001418").otherwise(F.col("phone")))
+    got = {(r["id"], r["alt_id"]) for r in match_records(centre(left), centre(right), groups).collect()}
+    assert len(want & got) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(want)
+
+
+def test_recall_falls_without_walks(spark):
+    left, right, groups, want = shops(spark, 500, 250)
+    late = F.substring("id", 2, 9).cast("int") >= 250
+    left = left.withColumns({c: F.when(~late, F.col(c)) for c in ("name_ar", "phone")})
+    right = right.withColumns({c: F.when(~late, F.col(c)) for c in ("name_en", "phone")}).filter("name_ar is not null or name_en is not null")
+    there = {r["id"][1:] for r in right.collect()}
+    cross = {p for p in want if p[1][1:] in there}
+    blocked = lambda train: len(cross & {(r["id"], r["alt_id"]) for r in candidates(left, right, groups, train).collect()}) / len(cross)
+    untrained = lambda pairs, rng, weights=None: skip_gram(np.zeros((0, 2), int), rng)
+    assert blocked(skip_gram) > 1.3 * blocked(untrained), "an English and an Arabic name meet only in the trained space"
+
+
+def test_names_and_calibration():
+    rng = np.random.default_rng(0)
+    made = Names(rng.standard_normal((BUCKETS, DIM)).astype(np.float32), np.ones(BUCKETS, dtype=np.float32))
+    import pandas as pd
+
+    v = made.records(pd.Series(["kauthar", "", None]), pd.Series(["", "", ""]))
+    u = made.tokens[trigrams("kauthar")].sum(axis=0)
+    assert np.allclose(v[0], u / np.linalg.norm(u), atol=1e-5) and not v[1:].any()
+    cosine = rng.random(500)
+    w = calibrate_cosine(np.append(cosine, np.nan), np.append(cosine > 0.7, False).astype(float))
+    odds = np.column_stack([np.ones(3), [0.1, 0.7, 0.95], [0.01, 0.49, 0.9025], np.zeros(3)]) @ w
+    assert odds[0] < odds[1] < odds[2] and odds[0] < 0 < odds[2]
+
+
 def test_match_records_held_out(spark):
     left, right, groups, want = shops(spark, 400, 250)
     extra = lambda d: d.withColumns({"side": F.lit("x"), "k": F.lit("y"), "bits": F.lit(1)})
