@@ -1,14 +1,16 @@
 """Personal information in free text: anchors found by Aho-Corasick, expanded and checked by local parsers, replaced by typed placeholders.
 
-An automaton over the folded text reports anchors: at-signs and their spellings, digits that can open a number, street types and given
-names. A parser of that kind then reads to the left and right of the anchor and accepts or rejects it. Positions refer to the text
-as stored, in code points from 1.
+An automaton over the folded text reports anchors: at-signs and their spellings, schemes, cues and digits that can open a number, street types
+and given names. A parser of that kind then reads to the left and right of the anchor and accepts or rejects it. Given names are learned from
+the corpus: words that stand where titles, signatures and other cues expect a person. Positions refer to the text as stored, in code points from 1.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-# Common given names of both scripts; `given` of find_pii() takes others.
+# Common given names of both scripts, beside those that learn_names() finds; `given` of find_pii() takes others.
 GIVEN_NAMES = tuple(
     "ahmad ali amal amina anita badr dalal elif faisal faris fatima grace hassan hind huda hussein ibrahim imran jamal john joseph karim "
     "khalid layla latifa lina maha majed marco maria mariam mohammed mona nawaf nora omar peter rakan rania reem saad salim salma sami sara "
@@ -37,6 +39,18 @@ STOP_AR = frozenset("في إلى على من عن مع أو و ثم قد لا م
 PARTICLES_EN = ("van", "von", "ben", "bin", "ibn", "abu", "de", "el", "al")
 PARTICLES_AR = ("بن", "ابن", "أبو", "ابو", "فان", "آل", "عبد", "بنت")
 
+# What stands before a person: titles, roles, signatures, fields, speakers.
+CUES_EN = r"\b(?:mr|mrs|ms|miss|dr|prof|eng|sheikh|customer|patient|client|tenant|visitor|courier|signed|signature|regards|sincerely|dear|attn|by|from|both|according to|contact|name|sheet)"
+CUES_AR = "السيد السيدة الأستاذ الأستاذة الدكتور الدكتورة الشيخ المهندس العميل العميلة الزبون المريض المريضة باسم يسكن تسكن يقيم تقيم يرى ترى قال قالت ذكر ذكرت توقيع".split()
+_AFTER_EN = re.compile(CUES_EN + r"\b\.?\s*[,:=/]?\s*(?:(?:mr|mrs|ms|dr)\.? )?(?=[^\W\d_])", re.IGNORECASE)
+_AFTER_AR = re.compile(r"(?<!\w)(?:و?(?:" + "|".join(CUES_AR) + r"))\s*[,،:=/]?\s+")
+_PERSON_EN = re.compile(r"(?:(?:(?:VAN|VON|BEN|BIN|ABU|DE|EL|Van|Von|Ben|Bin|Abu|De|El) )?[A-ZÀ-Þ][\w'’\-]+, )?([A-ZÀ-Þ][\w'’]+)(?= (?:[A-ZÀ-Þ]\. |[A-ZÀ-Þ][\w'’]+ )?(?:(?:Van|Von|Ben|Bin|Abu|De|El|VAN|VON|BEN|BIN|ABU|DE|EL) )?[A-ZÀ-Þ][\w'’\-]+)?")
+_PERSON_AR = re.compile(r"([ء-ي]{2,}) (?=[ء-ي]{2,})")
+#: A word is a given name if it stands behind a cue at least so often, and that is at least this share of all its occurrences.
+LEAST_SEEN, LEAST_SHARE = 2, 0.2
+#: Names that every task may hold.
+MAX_NAMES = 500_000
+
 _LOCAL_TAIL = re.compile(r"(?:[a-z0-9_+\-]+(?: dot | \(dot\) | \[dot\] |\(dot\)|\[dot\]))*[a-z0-9][a-z0-9._%+\-]*$")
 _HOST = re.compile(r"[a-z0-9](?:[a-z0-9\-]*[a-z0-9])?(?:(?:\.| dot | ?\(dot\) ?| ?\[dot\] ?)[a-z0-9](?:[a-z0-9\-]*[a-z0-9])?)+")
 _PHONE = re.compile(r"(?:\+ ?966|00 ?966|966|\+ ?\(966\)|\(\+966\))[ .\-]*(?:\(0?\)[ .\-]?)?0?(?:[ .\-()]{0,2}\d){9}(?!\d)|\(0\d{1,2}\)(?:[ .\-]{0,2}\d){7,8}(?!\d)|0(?:[ .\-]?\d){9}(?!\d)")
@@ -45,6 +59,7 @@ _NUMBER_AFTER_EN = re.compile(r"\.?,?(?: no\.?)? +(?:bldg\.? |building )?(\d{2,5
 _NAME_BEFORE_EN = re.compile(r"(?:(?<=\s)|^|(?<=[/(\"'>,:;=]))((?:(?:Al|El|Al-)[ \-])?[A-ZÀ-Þ][\w'’\-]*) +$")
 _NUMBER_BEFORE_AR = re.compile(r"(?:(?P<b>مبنى (?:رقم )?)(?P<bn>\d{1,5})[،,]? +|(?<![\d:./,\-+])(?P<n>\d{2,5})[،,]? +)$")
 _NUMBER_AFTER_AR = re.compile(r" +[^\W\d_]+(?: [^\W\d_]+)?[،,]?(?: -)? +(?:(?:مبنى|عمارة|رقم) )+(\d{1,5})(?!\d)")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(r"[^\W\d_](?:[\w'’]|-(?=\w))*")
 _ANY_NAME_BEFORE = re.compile(r"(?:(?<=[^\w\-])|^)([^\W\d_][\w'’\-]*) +$")
 _GAP, _INITIAL = re.compile(r" (?=\w)"), re.compile(r"[A-Z]\.(?= )")
@@ -78,23 +93,27 @@ class _Folds(dict):
 _FOLDS = _Folds()
 
 
-@lru_cache(maxsize=4)
-def _automaton(given: tuple[str, ...]) -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for w in ("@", "(at)", "[at]", "{at}", "<at>", " at "):
-        a.add_word(w, ("email", len(w)))
-    for w in ("+", "0", "(0", "966", "(+966"):
-        a.add_word(w, ("phone", len(w)))
-    for w in "12":
-        a.add_word(w, ("id_number", 1))
-    for w in STREET_EN:
-        a.add_word(w, ("street_en", len(w)))
-    for w in STREET_AR:
-        a.add_word(w, ("street_ar", len(w)))
-    for w in given:
-        a.add_word(w, ("name", len(w)))
-    a.make_automaton()
-    return a
+class Finder:
+    """The automaton of all anchors, with a list of given names."""
+
+    def __init__(self, given: tuple[str, ...]) -> None:
+        self.given = frozenset(given)
+        a = self.automaton = ahocorasick.Automaton()
+        anchors = [("email", ("@", "(at)", "[at]", "{at}", "<at>", " at ")), ("mail_scheme", ("mailto:",)), ("phone", ("+", "0", "(0", "966", "(+966")), ("id_number", ("1", "2"))]
+        anchors += [("number_scheme", ("tel:", "id:", "id no", "iqama", "هوية", "إقامة")), ("street_en", STREET_EN), ("street_ar", STREET_AR), ("name", tuple(self.given))]
+        for kind, words in anchors:
+            for w in words:
+                known = a.get(w, ())
+                a.add_word(w, (*known, (kind, len(w))))
+        a.make_automaton()
+
+    def anchors(self, low: str) -> Iterator[tuple[str, int, int]]:
+        for last, kinds in self.automaton.iter(low):
+            for kind, n in kinds:
+                yield kind, last + 1 - n, last + 1
+
+
+_finder = lru_cache(maxsize=4)(Finder)
 
 
 def check_digit(digits: str) -> bool:
@@ -239,10 +258,32 @@ def _name(flat: str, low: str, i: int, j: int, given: frozenset[str]) -> tuple[i
     return (i, end) if end > 0 else None
 
 
-def find_pii(text: str | None, given: tuple[str, ...] = GIVEN_NAMES) -> list[tuple[str, int, int]]:
+def _first_digit(low: str, j: int, most: int = 16) -> int:
+    """Position of the first digit (or plus sign) after a cue, or -1."""
+    m = re.compile(r"[+\d]").search(low, j, j + most)
+    return m.start() if m else -1
+
+
+class _Free:
+    """Spans that do not overlap, kept in order; each new one is held against its two neighbours only."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.spans: list[tuple[str, int, int]] = []
+
+    def take(self, span: tuple[str, int, int]) -> None:
+        i = bisect_right(self.starts, span[1])
+        if (i and self.spans[i - 1][2] > span[1]) or (i < len(self.spans) and self.spans[i][1] < span[2]):
+            return
+        self.starts.insert(i, span[1])
+        self.spans.insert(i, span)
+
+
+def find_pii(text: str | None, given: tuple[str, ...] = GIVEN_NAMES, finder: Finder | None = None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every mention, sorted by start; positions are code points of the text as stored, from 0."""
     if not text:
         return []
+    finder = finder or _finder(given)
     hidden = [i for i, c in enumerate(text) if unicodedata.category(c) == "Cf" or c == "͏"] if not text.isascii() else []
     if hidden:
         drop = set(hidden)
@@ -251,40 +292,37 @@ def find_pii(text: str | None, given: tuple[str, ...] = GIVEN_NAMES) -> list[tup
     else:
         at, flat = None, text.translate(_FOLDS)
     low = _lower(flat)
-    names = frozenset(given)
-    spans: list[tuple[str, int, int]] = []
-    streets: list[tuple[str, int, int]] = []
-    people: list[tuple[str, int, int]] = []
-    for last, (kind, n) in _automaton(given).iter(low):
-        i, j = last + 1 - n, last + 1
+    found: dict[int, set[tuple[str, int, int]]] = {0: set(), 1: set(), 2: set()}
+    for kind, i, j in finder.anchors(low):
+        turn = 0
         if kind == "email":
             hit = _email(low, i, j)
+        elif kind == "mail_scheme":
+            sign = low.find("@", j, j + 80)
+            kind, hit = "email", _email(low, sign, sign + 1) if sign > 0 else None
         elif kind == "phone":
             hit = _phone(low, i)
         elif kind == "id_number":
             hit = _id(low, i)
+        elif kind == "number_scheme":
+            first = _first_digit(low, j)
+            hit = _id(low, first) if first >= 0 else None
+            kind = "id_number"
+            if hit is None and first >= 0:
+                kind, hit = "phone", _phone(low, first)
         elif kind == "name":
-            hit = _name(flat, low, i, j, names)
-            if hit:
-                people.append(("person_name", *hit))
-            continue
+            kind, turn, hit = "person_name", 2, _name(flat, low, i, j, finder.given)
         else:
-            hit = _address(flat, low, i, j, kind == "street_ar")
-            if hit:
-                streets.append(("address", *hit))
-            continue
+            kind, turn, hit = "address", 1, _address(flat, low, i, j, kind == "street_ar")
         if hit:
-            spans.append((kind, *hit))
-    taken: list[tuple[str, int, int]] = []
-    for group in (spans, streets, people):
-        order = {"email": 0, "phone": 1, "id_number": 2}
-        for s in sorted(set(group), key=lambda s: (order.get(s[0], 3), s[1], -s[2])):
-            if not any(s[1] < t[2] and t[1] < s[2] for t in taken):
-                taken.append(s)
-    taken.sort(key=lambda s: s[1])
+            found[turn].add((kind, *hit))
+    free, order = _Free(), {"email": 0, "phone": 1, "id_number": 2}
+    for turn in (0, 1, 2):
+        for s in sorted(found[turn], key=lambda s: (order.get(s[0], 3), s[1], -s[2])):
+            free.take(s)
     if at is not None:
-        taken = [(k, at[a], at[b - 1] + 1) for k, a, b in taken]
-    return taken
+        return [(k, at[a], at[b - 1] + 1) for k, a, b in free.spans]
+    return free.spans
 
 
 def redact(text: str | None, given: tuple[str, ...] = GIVEN_NAMES) -> str | None:
@@ -301,12 +339,6 @@ def redact(text: str | None, given: tuple[str, ...] = GIVEN_NAMES) -> str | None
 _FOUND = ArrayType(StructType([StructField("pii_kind", StringType()), StructField("start_pos", IntegerType()), StructField("end_pos", IntegerType())]))
 
 
-@F.pandas_udf(_FOUND)
-def _find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for t in texts:
-        yield pd.Series([[{"pii_kind": k, "start_pos": a + 1, "end_pos": b} for k, a, b in find_pii(x)] for x in t], dtype=object)
-
-
 @F.pandas_udf(StringType())
 def redact_col(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """redact() of a column."""
@@ -314,11 +346,61 @@ def redact_col(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield t.map(redact, na_action="ignore")
 
 
-def mentions(documents: DataFrame, key: str, text: str) -> DataFrame:
+def people_in(flat: str) -> list[str]:
+    """Words of a folded text (lower case) that stand where a cue expects a given name."""
+    out = []
+    for m in _AFTER_EN.finditer(flat):
+        p = _PERSON_EN.match(flat, m.end())
+        if p and (p.end() < len(flat) and flat[p.end()] == " " or "," in p.group()):
+            rest = _lower(flat[m.end() : m.end() + 60]).split()
+            if not any(w.strip(".,;") in PLACES for w in rest[:4]):
+                out.append(_lower(p.group(1)))
+    for m in _AFTER_AR.finditer(flat):
+        p = _PERSON_AR.match(flat, m.end())
+        if p and p.group(1) not in STOP_AR and p.group(1) not in PLACES and p.group(1) not in CUES_AR:
+            out.append(p.group(1))
+    return out
+
+
+def learn_names(documents: DataFrame, text: str = "text") -> tuple[str, ...]:
+    """Given names of a corpus: words that stand behind cues LEAST_SEEN times or more, and there in LEAST_SHARE of all their occurrences.
+
+    Counts are taken over all documents and added up before they leave a task; what comes back is the names (at most MAX_NAMES, checked).
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        cued: Counter = Counter()
+        for b in batches:
+            for t in b["t"]:
+                flat = t.translate(_FOLDS)
+                cued.update(people_in(flat))
+                seen.update(_LETTERS.findall(flat.lower()))
+        yield pd.DataFrame({"w": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64"), "c": pd.Series([cued.get(w, 0) for w in seen], dtype="int64")})
+
+    rows = documents.select(F.col(text).cast("string").alias("t")).filter("t is not null")
+    sums = rows.mapInPandas(count, "w string, n long, c long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+    got = sums.filter((F.col("c") >= LEAST_SEEN) & (F.col("c") >= LEAST_SHARE * F.col("n")) & (F.length("w") > 1)).select("w").limit(MAX_NAMES + 1).collect()
+    if len(got) > MAX_NAMES:
+        raise ValueError("more names than a task may hold")
+    return tuple(sorted(r["w"] for r in got if r["w"] not in PLACES and r["w"] not in STOP_AR))
+
+
+def mentions(documents: DataFrame, key: str, text: str, given: tuple[str, ...] = GIVEN_NAMES, learn: bool = True) -> DataFrame:
     """key, pii_kind, start_pos (long, from 1), end_pos: one row per mention of a document.
 
-    Null, empty and blank texts have none; texts of any length are read whole; repeated rows give repeated rows; other columns are not read.
-    One pass without a shuffle.
+    Person names need a given name: one of `given`, or one that learn_names() finds in the same documents. Null, empty and blank texts have no
+    mentions; texts of any length are read whole; repeated rows give repeated rows; other columns are not read. Two passes over the
+    documents, the first of which shuffles word counts only.
     """
-    found = documents.select(F.col(key), F.inline(_find(F.col(text).cast("string"))))
+    names = tuple(sorted({*given, *(learn_names(documents, text) if learn else ())}))
+    shared = documents.sparkSession.sparkContext.broadcast(names)
+
+    @F.pandas_udf(_FOUND)
+    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = Finder(shared.value)
+        for t in texts:
+            yield pd.Series([[{"pii_kind": k, "start_pos": a + 1, "end_pos": b} for k, a, b in find_pii(x, finder=finder)] for x in t], dtype=object)
+
+    found = documents.select(F.col(key), F.inline(find(F.col(text).cast("string"))))
     return found.select(key, "pii_kind", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"))

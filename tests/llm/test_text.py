@@ -10,7 +10,7 @@ import tiktoken
 from atlasmill.llm.bpe import PATTERN, RANKS_PATH, Encoder, encode_corpus
 from atlasmill.llm.confusables import matches_register, skeleton_groups
 from atlasmill.llm.leakage import COSINE, RUN, WIDTH, Retrieval, _Numbers, latent_basis, lcs_lengths, leaks, longest_run, passages, words
-from atlasmill.llm.pii import check_digit, find_pii, mentions, redact
+from atlasmill.llm.pii import GIVEN_NAMES, check_digit, find_pii, learn_names, mentions, people_in, redact
 
 DOC = "doc_id long, text string, item_id long, ids string, k string, kind string"
 
@@ -169,3 +169,39 @@ def test_pii_positions_edges_and_redaction(spark):
     got = sorted(tuple(r)[:3] for r in mentions(rows, "doc_id", "text").collect())
     assert got == [(0, "email", two[1] + 1), (0, "phone", one[1] + 1), (3, "email", two[1] + 1), (3, "phone", one[1] + 1)]
     assert mentions(docs(spark, []), "doc_id", "text").count() == 0
+
+
+def test_given_names_are_learned_from_cues(spark):
+    rng = random.Random(5)
+    given, family = ["Zorvan", "Quilla", "Mirela", "Tashko"], ["Al-Hamdi", "Brennock", "Ostrava", "Lindqvist"]
+    texts, want = [], set()
+    for i in range(120):
+        g, f = rng.choice(given), rng.choice(family)
+        cue = rng.choice(["Dr ", "Customer ", "Signed, ", "Photo taken by ", "name="]) if i % 3 else "The counter saw "
+        texts.append(f"Stock was low. {cue}{g} {f} left. The Ostrava Pharmacy on Brennock Street is open.")
+        want.add((i, texts[-1].index(f"{g} {f}") + 1))
+    texts += ["قالت هذه المراجعة نعم", None, "", "by the way by car", "باسم سندس الغامدي", "رأت سندس الغامدي ذلك", "باسم سندس الغامدي", "مرحبا سندس الغامدي"]
+    frame = docs(spark, texts)
+    assert set(learn_names(frame)) == {*(g.lower() for g in given), "سندس"} and not set(map(str.lower, given)) & set(GIVEN_NAMES)
+    got = {(r["doc_id"], r["start_pos"]) for r in mentions(frame, "doc_id", "text", ()).filter("pii_kind = 'person_name' and doc_id < 120").collect()}
+    assert got == want, "with an empty list, also where no cue stands"
+    arabic = {r["doc_id"] for r in mentions(frame, "doc_id", "text", ()).filter("doc_id >= 120").collect()}
+    assert {124, 125, 126, 127} <= arabic
+    assert mentions(frame, "doc_id", "text", (), learn=False).filter("pii_kind = 'person_name'").count() == 0
+    assert learn_names(docs(spark, [])) == () and people_in("Dr. Zorvan Brennock, by Ostrava Pharmacy") == ["zorvan"]
+
+
+def test_many_mentions_take_linear_time():
+    import time
+
+    one, took = "call +966 52 807 5081 or a.b@c.example, Sara Al-Bukhtami; ", []
+    find_pii(one)
+    for n in (1500, 6000):
+        start = time.perf_counter()
+        assert len(find_pii(one * n)) == 3 * n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 8 * took[0]
+
+
+def test_schemes_and_cues():
+    assert kinds("see mailto:x.y@mail.example; tel:0522260377; id no: 1008364794")[0:3] == [("email", "x.y@mail.example"), ("phone", "0522260377"), ("id_number", "1008364794")]
