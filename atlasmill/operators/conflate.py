@@ -8,8 +8,9 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from atlasmill.functions.names import name_key, phone_digits
+from atlasmill.functions.names import name_key_col, phone_digits
 from atlasmill.operators.components import connected_components
 from atlasmill.operators.proximity import near_pairs
 from atlasmill.session import materialize
@@ -29,48 +30,36 @@ def with_ordinals(records: DataFrame) -> DataFrame:
 
 
 def scored_pairs(records: DataFrame) -> DataFrame:
-    """All pairs of records within RADIUS_M whose source keys differ, with distance, score and address likeness.
+    """All pairs of records within RADIUS_M whose source keys differ, with distance and score.
 
-    records: canonical rows with rec. `i` precedes `j` in source_key order; left and right are in order of latitude. Of records in
-    different categories only the distance is kept (score 0). Name likeness is computed once per distinct pair of keys of a batch.
+    records: canonical rows with rec. `i` precedes `j` in source_key order. Of records in different categories only the distance is kept (score 0).
+    Comparison keys of names are made once per record, their likeness once per distinct pair of keys of a batch.
     """
     near = near_pairs(records, "rec", "lat", "lon", RADIUS_M)
-    side = records.select("rec", "source_key", "source", "lat", "lon", "category", "name_en", "name_ar", "address", phone_digits(F.col("phone")).alias("digits"))
-    p = near.join(side.select(*(F.col(c).alias(f"{c}_i") for c in side.columns)), F.col("key_a") == F.col("rec_i"))
-    p = p.join(side.select(*(F.col(c).alias(f"{c}_j") for c in side.columns)), F.col("key_b") == F.col("rec_j")).filter("source_key_i <> source_key_j")
+    side = records.select("rec", "source_key", "source", "lat", "lon", "category", name_key_col("name_en").alias("en"), name_key_col("name_ar").alias("ar"), phone_digits(F.col("phone")).alias("digits"))
+    side = materialize(side, "sides")
+    p = near.join(side.select(*(F.col(c).alias(f"{c}_i") for c in side.columns)).hint("merge"), F.col("key_a") == F.col("rec_i"))
+    p = p.join(side.select(*(F.col(c).alias(f"{c}_j") for c in side.columns)).hint("merge"), F.col("key_b") == F.col("rec_j")).filter("source_key_i <> source_key_j")
 
     def likeness(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys: dict[str | None, str] = {}
         seen: dict[tuple[str, str], float] = {}
 
-        def key(t: str | None) -> str:
-            if t not in keys:
-                keys[t] = name_key(t)
-            return keys[t]
-
         def ratio(x: str, y: str) -> float:
             if (x, y) not in seen:
                 seen[x, y] = _alike(x, y)
             return seen[x, y]
 
         for b in batches:
-            names, addresses = [], []
-            swap = (b["lat_j"] < b["lat_i"]).to_numpy()
-            for r, s in zip(b.itertuples(index=False), swap):
-                one = [k for n in (r.name_en_i, r.name_ar_i) if n and (k := key(n))]
-                two = [k for n in (r.name_en_j, r.name_ar_j) if n and (k := key(n))]
-                names.append(max((ratio(x, y) for x in one for y in two), default=0.0) if r.category_i == r.category_j else 0.0)
-                x, y = (r.address_j, r.address_i) if s else (r.address_i, r.address_j)
-                addresses.append(_alike(x.casefold(), y.casefold()) if x and y else None)
-            yield b.drop(columns=["name_en_i", "name_ar_i", "name_en_j", "name_ar_j", "address_i", "address_j"]).assign(
-                name_likeness=names, address_similarity=pd.Series(addresses, dtype=float, index=b.index)
-            )
+            same = (b["category_i"] == b["category_j"]).to_numpy()
+            keys = zip(same, b["en_i"], b["ar_i"], b["en_j"], b["ar_j"])
+            best = [max((ratio(x, y) for x in (ei, ai) for y in (ej, aj) if x and y), default=0.0) if s else 0.0 for s, ei, ai, ej, aj in keys]
+            yield b.drop(columns=["en_i", "ar_i", "en_j", "ar_j"]).assign(name_likeness=best)
             if len(seen) > 200_000:
-                keys.clear(), seen.clear()
+                seen.clear()
 
-    slim = p.select("rec_i", "rec_j", "source_key_i", "source_key_j", "source_i", "source_j", "lat_i", "lat_j", "digits_i", "digits_j", "category_i", "category_j", "distance_m", "name_en_i", "name_ar_i", "name_en_j", "name_ar_j", "address_i", "address_j")
-    kept = [f for f in slim.schema if not f.name.startswith(("name_", "address_"))]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", name_likeness double, address_similarity double"
+    slim = p.select("rec_i", "rec_j", "source_key_i", "source_key_j", "source_i", "source_j", "lat_i", "lat_j", "digits_i", "digits_j", "category_i", "category_j", "distance_m", "en_i", "ar_i", "en_j", "ar_j")
+    kept = [f for f in slim.schema if f.name not in ("en_i", "ar_i", "en_j", "ar_j")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", name_likeness double"
     out = slim.mapInPandas(likeness, schema)
     phone = (F.col("digits_i") != "") & (F.col("digits_i") == F.col("digits_j"))
     passes = (F.col("category_i") == F.col("category_j")) & ((F.col("name_likeness") >= 0.70) | phone)
@@ -78,6 +67,12 @@ def scored_pairs(records: DataFrame) -> DataFrame:
     return out.withColumn("score", F.when(passes, score).otherwise(0.0))
 
 
+@F.pandas_udf(DoubleType())
+def address_likeness(first: pd.Series, second: pd.Series) -> pd.Series:
+    """Likeness of two addresses; null where one is missing. For the decision log only."""
+    return pd.Series([_alike(x.casefold(), y.casefold()) if x and y else None for x, y in zip(first, second)], dtype=float)
+
+
 def _replay(g: pd.DataFrame, version: int) -> pd.DataFrame:
     """Decisions over the pairs of one component, in order of latitude; each merge is seen by the decisions after it."""
     g = g.sort_values(["first_lat", "first_rec", "second_lat", "second_rec"], kind="stable")
@@ -136,13 +131,17 @@ def conflate(records: DataFrame, version: int = 3) -> tuple[DataFrame, DataFrame
     label = judged.select(F.inline(F.array(F.struct(F.col("rec_i").alias("rec"), F.col("cluster_i").alias("cluster")), F.struct(F.col("rec_j").alias("rec"), F.col("cluster_j").alias("cluster"))))).distinct()
     clustered = rows.join(label.hint("merge"), "rec", "left").withColumn("cluster", F.coalesce("cluster", "rec"))
     log = pairs.join(judged.select("rec_i", "rec_j", "decision", F.col("reason").alias("why")).hint("merge"), ["rec_i", "rec_j"], "left")
+    where = rows.select(F.col("rec").alias("rec_i"), F.col("address").alias("address_i"))
+    log = log.join(where.hint("merge"), "rec_i").join(where.select(F.col("rec_i").alias("rec_j"), F.col("address_i").alias("address_j")).hint("merge"), "rec_j")
+    south = F.col("lat_j") < F.col("lat_i")
+    likeness = address_likeness(F.when(south, F.col("address_j")).otherwise(F.col("address_i")), F.when(south, F.col("address_i")).otherwise(F.col("address_j")))
     weak = F.when(F.col("category_i") != F.col("category_j"), "category_mismatch").otherwise("below_match_threshold")
     decisions = log.select(
         F.when(swap, F.col("source_key_j")).otherwise(F.col("source_key_i")).alias("left"),
         F.when(swap, F.col("source_key_i")).otherwise(F.col("source_key_j")).alias("right"),
         F.round("distance_m", 6).alias("distance_m"),
         F.round("score", 6).alias("match_score"),
-        F.round("address_similarity", 6).alias("address_similarity"),
+        F.round(likeness, 6).alias("address_similarity"),
         F.lit(version).alias("algorithm_version"),
         F.coalesce("decision", F.lit("REJECT")).alias("decision"),
         F.coalesce("why", weak).alias("reason"),

@@ -66,6 +66,26 @@ def _scores(counts: DataFrame) -> DataFrame:
     return counts.select("*", F.round(precision, 6).alias("precision"), F.round(recall, 6).alias("recall"), F.round(f1, 6).alias("f1"))
 
 
+def field_accuracy(merged: DataFrame, truth: DataFrame) -> DataFrame:
+    """field, judged, correct, accuracy: how often a merged place took a field from the record that a label names.
+
+    merged: source_keys and provenance (field -> source key); truth: source_key, field, expected_source_key. Labels of keys that no place holds count
+    as wrong.
+    """
+    held = merged.select(F.explode("source_keys").alias("source_key"), F.col("provenance").alias("by"))
+    both = truth.select("source_key", "field", "expected_source_key").distinct().join(held.hint("merge"), "source_key", "left")
+    right = F.coalesce(F.try_element_at("by", F.col("field")) == F.col("expected_source_key"), F.lit(False))
+    out = both.groupBy("field").agg(F.count("*").alias("judged"), F.count_if(right).alias("correct"))
+    return out.withColumn("accuracy", F.round(F.col("correct") / F.col("judged"), 6))
+
+
+def review_summary(review: DataFrame, records: DataFrame) -> DataFrame:
+    """source, reason, rows, share: the review queue rolled up, each reason with its share of the source's records."""
+    n = records.groupBy("source").agg(F.count("*").alias("total"))
+    queued = review.groupBy("source", "reason").agg(F.count("*").alias("rows"))
+    return queued.join(n, "source", "left").select("source", "reason", "rows", F.round(F.try_divide("rows", "total"), 6).alias("share"))
+
+
 def unlabelled(predicted_keys: DataFrame, labels: DataFrame, key: str = "source_key") -> DataFrame:
     """Predicted keys that no label names (an evaluation over them would be void)."""
     return predicted_keys.select(key).distinct().join(labels.select(key).distinct().hint("merge"), key, "left_anti")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +88,35 @@ def row_hash(df: DataFrame, columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("\u001f", *(F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in columns)), 256)
 
 
-def dataset_hash(df: DataFrame, by: list[str], columns: list[str], key: list[str]) -> DataFrame:
-    """One digest per group `by`: rows are hashed where they lie, their hashes (64 bytes a row) sorted by key and hashed again in
-    blocks of the key's first byte, so no group of any size meets in one task as rows."""
-    h = df.select(*by, F.xxhash64(*key).alias("_k"), row_hash(df, columns).alias("_h")).withColumn("_b", F.pmod("_k", F.lit(256)))
-    block = h.groupBy(*by, "_b").agg(F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("_k", "_h"))), lambda x: x["_h"])), 256).alias("_d"))
-    digest = F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("_b", "_d"))), lambda x: x["_d"])), 256)
-    return block.groupBy(*by).agg(digest.alias("dataset_hash"))
+def dataset_hash(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, dataset_hash: one digest per group of rows, whatever their order and however they are spread.
+
+    Rows are hashed where they lie; a group's digest is that of its number of rows and of the sums of the four parts of their hashes, which tasks add up
+    before anything is shuffled, so a group of any size is a few numbers.
+    """
+    h = df.select(*by, row_hash(df, columns).alias("_h"))
+    parts = [F.sum(F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).cast("string") for i in range(4)]
+    return h.groupBy(*by).agg(F.sha2(F.concat_ws("|", F.count("*").cast("string"), *parts), 256).alias("dataset_hash"))
+
+
+def query_hash(source: str, endpoint: str | None, area: tuple | str, categories: tuple[str, ...]) -> str:
+    """Identity of what was asked: the same source, place of delivery, area and set of categories give the same digest, whatever their order."""
+    asked = {"area": area if isinstance(area, str) else list(area), "categories": sorted(set(categories)), "endpoint": endpoint, "source": source}
+    return hashlib.sha256(json.dumps(asked, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
+
+
+def element_faults(elements: DataFrame, now: Column, slack_s: int = 300) -> DataFrame:
+    """type, id, fault of delivered elements (type, id, version, timestamp): listed twice, of a version below one, or stamped in the future."""
+    twice = elements.groupBy("type", "id").agg(F.count("*").alias("n"), F.min("version").alias("version"), F.max("timestamp").alias("timestamp"))
+    late = F.unix_micros("timestamp") - F.unix_micros(now) > slack_s * 1_000_000
+    faults = F.array_compact(F.array(F.when(F.col("n") > 1, "listed twice"), F.when(F.coalesce(F.col("version"), F.lit(1)) < 1, "version below one"), F.when(late, "stamped in the future")))
+    return twice.select("type", "id", F.explode(faults).alias("fault"))
+
+
+def descriptor(elements: DataFrame, source: str, endpoint: str, asked: str, columns: list[str], mode: str = "live") -> DataFrame:
+    """One row that describes a delivery: source, endpoint, query_hash, newest timestamp, dataset_hash, mode and snapshot_id (which leaves the mode out)."""
+    whole = dataset_hash(elements.withColumn("_all", F.lit(1)), ["_all"], columns).select("dataset_hash")
+    newest = elements.agg(F.max("timestamp").alias("timestamp"))
+    row = newest.withColumn("_", F.lit(1)).join(F.broadcast(whole.withColumn("_", F.lit(1))), "_", "left").drop("_")  # one row each
+    row = row.select(F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), F.lit(asked).alias("query_hash"), "timestamp", "dataset_hash", F.lit(mode).alias("mode"))
+    return row.withColumn("snapshot_id", F.sha2(F.concat_ws("|", "source", "endpoint", "query_hash", F.unix_micros("timestamp").cast("string"), "dataset_hash"), 256))

@@ -90,7 +90,7 @@ def _digest(df: DataFrame) -> str | None:
     """One hash of a table whatever the order of its rows; maps by content."""
     flat = df.select(*(F.to_json(F.array_sort(F.map_entries(f.name))).alias(f.name) if isinstance(f.dataType, MapType) else F.col(f.name).cast("string").alias(f.name) for f in df.schema))
     key = list(flat.columns)
-    row = dataset_hash(flat.withColumn("_all", F.lit(1)), ["_all"], key, key).first()
+    row = dataset_hash(flat.withColumn("_all", F.lit(1)), ["_all"], key).first()
     return row["dataset_hash"] if row else None
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,13 +17,13 @@ from atlasmill.operators.conflate import conflate
 from atlasmill.operators.merge import content_id, merge_clusters
 from atlasmill.operators.proximity import near_pairs
 from atlasmill.plans.general import CURRENT_SQL
-from atlasmill.session import materialize
+from atlasmill.session import materialize, shared_dir
 from atlasmill.sinks import layer
 from atlasmill.sources.records import parse_payload
 from atlasmill.sources.registry import checked
 from atlasmill.sources.taxonomy import taxonomy, taxonomy_rows
 from atlasmill.streaming.snapshot_state import judged_stream
-from atlasmill.tables import current_rows, table
+from atlasmill.tables import current_rows, delivered, small, table
 
 BOX = (46.60, 24.60, 46.70, 24.65)
 #: An area of two parts, the first with a hole (lon/lat).
@@ -127,21 +128,26 @@ def merged_places(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _by_phone(spark: SparkSession, d: str) -> DataFrame:
-    """Members of earlier groups, grouped anew by phone."""
+    """Members of earlier groups (of both tables), grouped anew by phone; a member of several rows counts under its smallest number."""
     key = F.concat_ws(":", "source", "id").alias("source_key")
-    rows = _now(spark, d, ["source", "phone"]).select(key, phone_digits(F.col("phone")).alias("digits")).filter("digits <> ''")
+    parts = [t.filter("id is not null").select(key, phone_digits(F.col("phone")).alias("digits")) for t in (_now(spark, d, ["source", "phone"]), table(spark, d, "riyadh_pharmacies_alt"))]
+    rows = parts[0].unionByName(parts[1]).filter("digits <> ''").groupBy("source_key").agg(F.min("digits").alias("digits"))
     return rows.join(table(spark, d, "merge_groups").select("source_key").distinct().hint("merge"), "source_key")
 
 
-def key_overlaps(spark: SparkSession, d: str) -> DataFrame:
+def _members(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Earlier groups and groups by phone, each as stable_id and source_keys."""
     old = table(spark, d, "merge_groups").groupBy(F.col("entity_id").alias("stable_id")).agg(F.collect_set("source_key").alias("source_keys"))
     new = _by_phone(spark, d).groupBy(F.col("digits").alias("stable_id")).agg(F.collect_set("source_key").alias("source_keys"))
-    return history.overlaps(old, new)
+    return old, new
+
+
+def key_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return history.overlaps(*_members(spark, d))
 
 
 def kept_ids(spark: SparkSession, d: str) -> DataFrame:
-    old = table(spark, d, "merge_groups").groupBy(F.col("entity_id").alias("stable_id")).agg(F.collect_set("source_key").alias("source_keys"))
-    new = _by_phone(spark, d).groupBy("digits").agg(F.collect_set("source_key").alias("source_keys"))
+    old, new = _members(spark, d)
     return history.assign_ids(old, new.select(content_id(F.col("source_keys")).alias("stable_id"), "source_keys"))
 
 
@@ -150,25 +156,50 @@ def merge_quality(spark: SparkSession, d: str) -> DataFrame:
     return reports.group_quality(_by_phone(spark, d), "digits", "source_key", gold)
 
 
-def _delivery(spark: SparkSession, d: str, no: int) -> DataFrame:
-    w = Window.partitionBy("id").orderBy(F.col("harvested_at").desc_nulls_last(), F.col("row_id").desc())
-    rows = table(spark, d, "riyadh_pharmacies").filter(F.col("snapshot_no") == no).withColumn("_r", F.row_number().over(w)).filter("_r = 1")
-    return rows.select(F.col("id").alias("stable_id"), "name_en", "name_ar", "category", "phone", "address", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.concat_ws(":", "source", "id").alias("geometry_provenance"), "harvested_at")
+def unlabelled_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Current keys that no earlier group names."""
+    return reports.unlabelled(_now(spark, d, ["source"]).select(F.concat_ws(":", "source", "id").alias("source_key")), table(spark, d, "merge_groups"))
+
+
+def _deliveries(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
+    """The rows that count of every delivered snapshot, with pos, the place of the delivery among its source's (from 0), and the last pos."""
+    sent = delivered(table(spark, d, "snapshots")).select("source", "snapshot_no", "pos")
+    w = Window.partitionBy("pos", "id").orderBy(F.col("harvested_at").desc_nulls_last(), F.col("row_id").desc())
+    rows = table(spark, d, "riyadh_pharmacies").filter("id is not null").join(small(sent), ["source", "snapshot_no"])
+    rows = rows.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
+    rows = rows.select("pos", F.col("id").alias("stable_id"), "name_en", "name_ar", "category", "phone", "address", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.concat_ws(":", "source", "id").alias("geometry_provenance"), "harvested_at")
+    return materialize(rows, "deliveries"), sent.agg(F.max("pos")).first()[0] or 0
+
+
+def _at(rows: DataFrame, pos: int) -> DataFrame:
+    return rows.filter(F.col("pos") == pos).drop("pos")
 
 
 def field_changes(spark: SparkSession, d: str) -> DataFrame:
-    c = history.change_set(_delivery(spark, d, 3), _delivery(spark, d, 4))
-    return c.select("stable_id", "change", F.concat_ws(",", "changed_fields").alias("changed_fields"))
+    """Field-level changes between all consecutive deliveries."""
+    rows, last = _deliveries(spark, d)
+    steps = [history.change_set(_at(rows, i), _at(rows, i + 1)).withColumn("delivery", F.lit(i + 1)) for i in range(last)]
+    out = reduce(DataFrame.unionByName, steps) if steps else history.change_set(_at(rows, 0), _at(rows, 0)).withColumn("delivery", F.lit(0)).limit(0)
+    return out.select("delivery", "stable_id", "change", F.concat_ws(",", "changed_fields").alias("changed_fields"))
+
+
+def _layer(rows: DataFrame, last: int) -> DataFrame:
+    """The layer after the deliveries 0 to `last`, one after another."""
+    done = None
+    for i in range(last + 1):
+        done = materialize(layer.upsert_layer(done, _at(rows, i)), "layer")
+    return done
 
 
 def layer_upsert(spark: SparkSession, d: str) -> DataFrame:
-    first = materialize(layer.upsert_layer(None, _delivery(spark, d, 3)), "layer")
-    return layer.upsert_layer(first, _delivery(spark, d, 4)).select("id", "stable_id", "is_active", "phone")
+    rows, last = _deliveries(spark, d)
+    return _layer(rows, last).select("id", "stable_id", "is_active", "phone")
 
 
 def layer_check(spark: SparkSession, d: str) -> DataFrame:
-    done = materialize(layer.upsert_layer(None, _delivery(spark, d, 3)), "layer")
-    return layer.verify_layer(_delivery(spark, d, 4), done)
+    """The layer before the last delivery held against that delivery."""
+    rows, last = _deliveries(spark, d)
+    return layer.verify_layer(_at(rows, last), _layer(rows, max(0, last - 1)))
 
 
 def layer_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +241,7 @@ def phone_keys(spark: SparkSession, d: str) -> DataFrame:
 def tag_lookup(spark: SparkSession, d: str) -> DataFrame:
     tags = lookups.tag_categories(taxonomy(spark)).withColumnRenamed("category", "leaf")
     rows = _now(spark, d, ["category"]).withColumn("tag", F.concat(F.lit("amenity="), F.lower(F.trim("category"))))
-    return rows.join(F.broadcast(tags), "tag", "left").groupBy("category", "leaf").agg(F.count("*").alias("n"))
+    return rows.join(small(tags), "tag", "left").groupBy("category", "leaf").agg(F.count("*").alias("n"))
 
 
 def taxonomy_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -218,9 +249,11 @@ def taxonomy_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def geocoded(spark: SparkSession, d: str) -> DataFrame:
-    rows = _now(spark, d, ["lat", "lon", "address"])
-    catalog = rows.filter("lat is not null and lon is not null and address is not null").select("address", "lat", "lon", F.lit(0.9).alias("confidence"))
-    return lookups.geocode(rows, catalog).filter("geometry_derived").select("id", "lat", "lon", "geometry_confidence")
+    """Rows of any snapshot without a position, filled from the addresses of all rows that have one."""
+    known = table(spark, d, "riyadh_pharmacies").filter("lat between 24 and 26 and lon between 46 and 48 and trim(address) <> ''")
+    catalog = known.groupBy(lookups.lookup_key(F.col("address")).alias("address")).agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"), F.lit(0.9).alias("confidence"))
+    rows = table(spark, d, "riyadh_pharmacies").select("row_id", "lat", "lon", "address")
+    return lookups.geocode(rows, catalog).filter("geometry_derived").select("row_id", "lat", "lon", "geometry_confidence")
 
 
 def place_lookup(spark: SparkSession, d: str) -> DataFrame:
@@ -236,24 +269,58 @@ def snapshot_freshness(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("source", "snapshot_no", snapshots.freshness(at, mode, limit, now).alias("state"), snapshots.age_error(at, mode, limit, F.lit("strict"), now).alias("error"))
 
 
+def _descriptors(spark: SparkSession, d: str) -> DataFrame:
+    """A descriptor of every listed snapshot: source, endpoint, query_hash, timestamp (null where it was not delivered), dataset_hash."""
+    held = snapshots.dataset_hash(table(spark, d, "riyadh_pharmacies"), ["source", "snapshot_no"], ["id", "name_en", "name_ar", "phone", "address", "lat", "lon"])
+    rows = table(spark, d, "snapshots").join(small(held), ["source", "snapshot_no"], "left")
+    return rows.select("source", "snapshot_no", F.lit("feed").alias("endpoint"), F.col("source").alias("query_hash"), F.when(F.col("delivered"), F.col("taken_at")).alias("timestamp"), "dataset_hash")
+
+
 def snapshot_order(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "riyadh_pharmacies").groupBy("source", "snapshot_no").agg(F.count("*").cast("string").alias("dataset_hash"))
-    rows = table(spark, d, "snapshots").join(F.broadcast(n), ["source", "snapshot_no"], "left")
-    now = F.struct("source", F.lit("feed").alias("endpoint"), F.lit("q").alias("query_hash"), F.when(F.col("delivered"), F.col("taken_at")).alias("timestamp"), "dataset_hash")
-    w = Window.partitionBy("source").orderBy(F.col("snapshot_no").desc())
-    seen = rows.withColumn("now", now).withColumn("before", F.lag("now").over(w))
+    """Each snapshot against the one before it."""
+    now = F.struct("source", "endpoint", "query_hash", "timestamp", "dataset_hash")
+    seen = _descriptors(spark, d).withColumn("now", now).withColumn("before", F.lag("now").over(Window.partitionBy("source").orderBy("snapshot_no")))
     return seen.select("source", "snapshot_no", snapshots.compare("now", "before").alias("decision"))
 
 
+def snapshot_store(spark: SparkSession, d: str) -> DataFrame:
+    """The store of last accepted descriptors after all snapshots, decided and accepted number by number."""
+    rows = materialize(_descriptors(spark, d), "descriptors")
+    store = rows.drop("snapshot_no").limit(0)
+    for (no,) in sorted(map(tuple, table(spark, d, "snapshots").select("snapshot_no").distinct().collect())):
+        store = materialize(snapshots.accept(store, snapshots.decide(rows.filter(F.col("snapshot_no") == no).drop("snapshot_no"), store)), "store")
+    return store.select("source", F.col("timestamp").cast("string").alias("accepted_at"))
+
+
+def review_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Names of the register as a review corpus, rated by whether the second table's names hold them; repeated and unknown ratings are faults."""
+    corpus = table(spark, d, "name_register").select(F.col("name_id").cast("string").alias("id"), "name_en")
+    seen = table(spark, d, "riyadh_pharmacies_alt").select("name_en").distinct()
+    ratings = corpus.join(seen.withColumn("met", F.lit(True)).hint("merge"), "name_en", "left").select("id", F.when(F.col("met"), "ACCEPTED").otherwise("REJECTED").alias("rating"))
+    return reports.review_score(corpus, ratings).withColumn("acceptance", F.round("acceptance", 6))
+
+
+def generated_merges(spark: SparkSession, d: str) -> DataFrame:
+    """Places merged from enriched rows: whose name wins where one side is generated, with its method and provenance."""
+    rows = _canonical(spark, d)
+    made = rows.select("source_key", enrich_col("name_en", "name_ar", "category", F.col("source_key")).alias("e"))
+    names = [f for f in made.schema["e"].dataType.names if f in rows.columns or f.startswith(("name_", "provenance_name_"))]
+    rows = rows.drop(*names).join(made.select("source_key", *(F.col(f"e.{n}").alias(n) for n in names)).hint("merge"), "source_key")
+    groups = table(spark, d, "merge_groups").groupBy("source_key").agg(F.min("entity_id").alias("entity"))
+    merged = merge_clusters(rows.join(groups.hint("merge"), "source_key", "left").withColumn("cluster", F.coalesce("entity", "source_key")))
+    return merged.select("stable_id", "name_en", "name_ar", F.coalesce("name_en_generated", F.lit(False)).alias("name_en_generated"), F.coalesce("name_ar_generated", F.lit(False)).alias("name_ar_generated"), "name_ar_method")
+
+
 def snapshot_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The order rule on a stream of descriptors (all files of the snapshots table, one scope per source)."""
+    """The order rule on a stream of descriptors (all files of the snapshots table, one scope per source), written to a table in the shared folder."""
     schema = "source string, snapshot_no int, taken_at timestamp, delivered boolean"
     rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(f"{d}/snapshots.parquet")
     at = F.when(F.col("delivered"), F.col("taken_at")).alias("timestamp")
     flat = rows.select(F.col("source").alias("query_hash"), at, F.col("snapshot_no").cast("string").alias("dataset_hash"))
-    name = f"snapshots_{uuid.uuid4().hex}"
-    judged_stream(flat).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select("query_hash", "dataset_hash", "decision")
+    out = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    judged = judged_stream(flat)
+    judged.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(judged.schema).parquet(f"{out}/rows").select("query_hash", "dataset_hash", "decision")
 
 
 def row_hashes(spark: SparkSession, d: str) -> DataFrame:
@@ -262,7 +329,7 @@ def row_hashes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dataset_hashes(spark: SparkSession, d: str) -> DataFrame:
-    return snapshots.dataset_hash(table(spark, d, "riyadh_pharmacies"), ["source", "snapshot_no"], ["id", "name_en", "name_ar", "phone", "address", "lat", "lon"], ["row_id"])
+    return snapshots.dataset_hash(table(spark, d, "riyadh_pharmacies"), ["source", "snapshot_no"], ["id", "name_en", "name_ar", "phone", "address", "lat", "lon"])
 
 
 def robots_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -288,8 +355,8 @@ def payload_records(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = (
     registry_faults, licence_gate, licence_report, routing, canonical, contributors, run_counters, area_box, area_polygon, candidate_pairs, near_components, conflation_decisions,
-    conflated_places, merged_places, key_overlaps, kept_ids, merge_quality, field_changes, layer_upsert, layer_check, layer_columns, layer_rows, layer_geojson, bilingual_names,
-    bilingual_counts, name_forms, enriched_names, phone_keys, tag_lookup, taxonomy_coverage, geocoded, place_lookup, snapshot_freshness, snapshot_order, snapshot_stream, row_hashes,
+    conflated_places, merged_places, key_overlaps, kept_ids, merge_quality, unlabelled_keys, field_changes, layer_upsert, layer_check, layer_columns, layer_rows, layer_geojson, bilingual_names,
+    bilingual_counts, name_forms, enriched_names, phone_keys, tag_lookup, taxonomy_coverage, geocoded, place_lookup, snapshot_freshness, snapshot_order, snapshot_store, snapshot_stream, review_scores, generated_merges, row_hashes,
     dataset_hashes, robots_rules, payload_records,
 )
 
@@ -324,11 +391,17 @@ merged AS (
 ided AS (SELECT *, sha256(array_to_string(keys, '|'))[:20] AS stable_id FROM merged)"""
 _DIGITS = "regexp_replace(coalesce({0}, ''), '[^\\p{{Nd}}]', '', 'g')"
 _BYPHONE = f"""{CURRENT_SQL},
-mine AS (SELECT source || ':' || id AS source_key, {_DIGITS.format("phone")} AS digits FROM cur
-         WHERE source || ':' || id IN (SELECT source_key FROM merge_groups) AND {_DIGITS.format("phone")} <> '')"""
-_DELIVERY = """
-d{0} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY harvested_at DESC NULLS LAST, row_id DESC) AS rn
-         FROM riyadh_pharmacies WHERE snapshot_no = {0}) WHERE rn = 1)"""
+both_tables AS (SELECT source || ':' || id AS source_key, {_DIGITS.format("phone")} AS digits FROM cur
+         UNION ALL SELECT source || ':' || id, {_DIGITS.format("phone")} FROM riyadh_pharmacies_alt WHERE id IS NOT NULL),
+mine AS (SELECT source_key, min(digits) AS digits FROM both_tables WHERE digits <> '' AND source_key IN (SELECT source_key FROM merge_groups) GROUP BY 1)"""
+_DELIVERIES = """
+sent AS (SELECT source, snapshot_no, row_number() OVER (PARTITION BY source ORDER BY snapshot_no) - 1 AS pos FROM (SELECT DISTINCT source, snapshot_no FROM snapshots WHERE delivered)),
+rows_of AS (SELECT * FROM (SELECT p.*, s.pos, row_number() OVER (PARTITION BY s.pos, p.id ORDER BY p.harvested_at DESC NULLS LAST, p.row_id DESC) AS rn
+            FROM riyadh_pharmacies p JOIN sent s USING (source, snapshot_no) WHERE p.id IS NOT NULL) WHERE rn = 1),
+last AS (SELECT max(pos) AS pos FROM sent)"""
+_NUMBERED = """
+entry AS (SELECT id AS stable_id, min(pos) AS pos FROM rows_of WHERE pos <= {0} GROUP BY 1),
+ids AS (SELECT stable_id, row_number() OVER (ORDER BY pos, stable_id) AS id FROM entry)"""
 _EDGES = ", ".join(
     f"({p}, {r}, {a[0]}, {a[1]}, {b[0]}, {b[1]})" for p, rings in enumerate(AREA["coordinates"]) for r, ring in enumerate(rings) for a, b in zip(ring, ring[1:])
 )
@@ -397,28 +470,27 @@ SELECT node, min(root) AS component FROM reach GROUP BY node""",
     "key_overlaps": f"""WITH {_BYPHONE}
 SELECT g.entity_id AS old_id, m.digits AS new_id, count(DISTINCT m.source_key) AS overlap FROM mine m JOIN merge_groups g USING (source_key) GROUP BY ALL""",
     "merge_quality": f"""WITH {_BYPHONE},
-used AS (SELECT * FROM mine WHERE digits IN (SELECT digits FROM mine GROUP BY 1 HAVING count(DISTINCT source_key) <= 50)),
-pred AS (SELECT DISTINCT x.source_key AS a, y.source_key AS b FROM used x JOIN used y ON x.digits = y.digits AND x.source_key < y.source_key),
+pred AS (SELECT DISTINCT x.source_key AS a, y.source_key AS b FROM mine x JOIN mine y ON x.digits = y.digits AND x.source_key < y.source_key),
 gold AS (SELECT DISTINCT x.source_key AS a, y.source_key AS b FROM merge_groups x JOIN merge_groups y ON x.entity_id = y.entity_id AND x.source_key < y.source_key),
 n AS (SELECT count(*) FILTER (WHERE p.a IS NOT NULL AND g.a IS NOT NULL) AS true_pairs, count(*) FILTER (WHERE g.a IS NULL) AS false_pairs, count(*) FILTER (WHERE p.a IS NULL) AS missed_pairs
       FROM pred p FULL JOIN gold g ON p.a = g.a AND p.b = g.b),
 q AS (SELECT *, true_pairs / (true_pairs + false_pairs) AS p, true_pairs / (true_pairs + missed_pairs) AS r FROM n)
 SELECT true_pairs, false_pairs, missed_pairs, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM q""",
-    "field_changes": f"""WITH {_DELIVERY.format(3)}, {_DELIVERY.format(4)},
-j AS (SELECT coalesce(o.id, n.id) AS stable_id, o.id AS oid, n.id AS nid, array_to_string(list_filter([{_CHANGED},
-  CASE WHEN o.source || ':' || o.id IS DISTINCT FROM n.source || ':' || n.id THEN 'geometry_provenance' END], lambda x: x IS NOT NULL), ',') AS f FROM d3 o FULL JOIN d4 n ON o.id = n.id)
-SELECT stable_id, CASE WHEN oid IS NULL THEN 'added' WHEN nid IS NULL THEN 'removed' WHEN f <> '' THEN 'updated' ELSE 'unchanged' END AS change,
+    "field_changes": f"""WITH {_DELIVERIES}, steps AS (SELECT unnest(range(1, (SELECT pos + 1 FROM last))) AS delivery),
+j AS (SELECT coalesce(o.delivery, n.delivery) AS delivery, coalesce(o.id, n.id) AS stable_id, o.id AS oid, n.id AS nid, array_to_string(list_filter([{_CHANGED},
+  CASE WHEN o.source || ':' || o.id IS DISTINCT FROM n.source || ':' || n.id THEN 'geometry_provenance' END], lambda x: x IS NOT NULL), ',') AS f
+  FROM (SELECT r.*, s.delivery FROM rows_of r JOIN steps s ON r.pos = s.delivery - 1) o FULL JOIN (SELECT r.*, s.delivery FROM rows_of r JOIN steps s ON r.pos = s.delivery) n ON o.id = n.id AND o.delivery = n.delivery)
+SELECT CAST(delivery AS INT) AS delivery, stable_id, CASE WHEN oid IS NULL THEN 'added' WHEN nid IS NULL THEN 'removed' WHEN f <> '' THEN 'updated' ELSE 'unchanged' END AS change,
   CASE WHEN oid IS NULL OR nid IS NULL THEN '' ELSE f END AS changed_fields FROM j""",
-    "layer_upsert": f"""WITH {_DELIVERY.format(3)}, {_DELIVERY.format(4)},
-one AS (SELECT id AS stable_id, row_number() OVER (ORDER BY id) AS id, phone FROM d3),
-two AS (SELECT n.id AS stable_id, (SELECT count(*) FROM one) + row_number() OVER (ORDER BY n.id) AS id FROM d4 n WHERE n.id NOT IN (SELECT stable_id FROM one)),
-ids AS (SELECT stable_id, id FROM one UNION ALL SELECT stable_id, id FROM two)
-SELECT CAST(i.id AS INT) AS id, i.stable_id, n.id IS NOT NULL AS is_active, CASE WHEN n.id IS NOT NULL THEN n.phone ELSE o.phone END AS phone
-FROM ids i LEFT JOIN d4 n ON n.id = i.stable_id LEFT JOIN one o ON o.stable_id = i.stable_id""",
-    "layer_check": f"""WITH {_DELIVERY.format(3)}, {_DELIVERY.format(4)}
+    "layer_upsert": f"""WITH {_DELIVERIES}, {_NUMBERED.format("(SELECT pos FROM last)")},
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos DESC) AS nth FROM rows_of) WHERE nth = 1)
+SELECT i.id, i.stable_id, n.pos = (SELECT pos FROM last) AS is_active, n.phone FROM ids i JOIN newest n ON n.id = i.stable_id""",
+    "layer_check": f"""WITH {_DELIVERIES},
+n AS (SELECT * FROM rows_of WHERE pos = (SELECT pos FROM last)), o AS (SELECT * FROM rows_of WHERE pos = (SELECT greatest(0, pos - 1) FROM last))
 SELECT count(*) FILTER (WHERE n.lon IS NOT NULL) AS expected, count(*) FILTER (WHERE o.lon IS NOT NULL) AS published, count(*) FILTER (WHERE o.lon IS NULL) AS missing,
-  count(*) FILTER (WHERE n.lon IS NULL) AS surplus, count(*) FILTER (WHERE abs(n.lon - o.lon) > 1e-8 OR abs(n.lat - o.lat) > 1e-8) AS moved, 0 AS without_provenance
-FROM d4 n FULL JOIN d3 o ON o.id = n.id""",
+  count(*) FILTER (WHERE n.lon IS NULL) AS surplus, count(*) FILTER (WHERE abs(n.lon - o.lon) > 1e-8 OR abs(n.lat - o.lat) > 1e-8) AS moved,
+  count(*) FILTER (WHERE o.lon IS NOT NULL AND coalesce(o.source || ':' || o.id, '') = '') AS without_provenance
+FROM n FULL JOIN o ON o.id = n.id""",
     "layer_columns": f"""WITH {CURRENT_SQL} SELECT count(*) AS id, {", ".join(f"count(*) FILTER (WHERE trim({c}) NOT IN ('', '[]', '{{}}')) AS {c}" for c in ("name_en", "name_ar", "phone", "address"))}, count(lat) AS lat FROM cur""",
     "layer_rows": f"""WITH {_MERGED} SELECT stable_id, lon AS longitude, split_part(keys[1], ':', 1) AS primary_source, regexp_replace(keys[1], '^[^:]*:', '') AS primary_source_id,
   CAST(to_json(keys) AS VARCHAR) AS source_keys, FALSE AS name_en_generated, confidence AS geometry_confidence, phone_by AS provenance_phone FROM ided""",
@@ -432,9 +504,9 @@ twice AS (SELECT provider, count(*) AS c FROM (SELECT provider, tag FROM leaf WH
 SELECT provider, tags AS mapping_count, mapped AS mapped_leaf_count, round(mapped / leaves, 4) AS leaf_coverage, coalesce(c, 0) AS ambiguous_count FROM n LEFT JOIN twice USING (provider)""",
     "phone_keys": f"WITH {CURRENT_SQL} SELECT id, {_DIGITS.format('phone')} AS digits FROM cur",
     "tag_lookup": f"""WITH {CURRENT_SQL}, leaf(id) AS (VALUES {_LEAVES}) SELECT category, leaf.id AS leaf, count(*) AS n FROM cur LEFT JOIN leaf ON leaf.id = lower(trim(category)) GROUP BY ALL""",
-    "geocoded": f"""WITH {CURRENT_SQL},
-cat AS (SELECT lower(trim(address)) AS k, min(lat) AS lat, min(lon) AS lon FROM cur WHERE lat IS NOT NULL AND lon IS NOT NULL AND address IS NOT NULL GROUP BY 1 HAVING count(*) = 1)
-SELECT c.id, k.lat, k.lon, 0.5 AS geometry_confidence FROM cur c JOIN cat k ON k.k = lower(trim(c.address)) WHERE (c.lat IS NULL OR c.lon IS NULL) AND k.lat BETWEEN -90 AND 90 AND k.lon BETWEEN -180 AND 180""",
+    "geocoded": """
+WITH cat AS (SELECT lower(trim(address)) AS k, min(lat) AS lat, min(lon) AS lon FROM riyadh_pharmacies WHERE lat BETWEEN 24 AND 26 AND lon BETWEEN 46 AND 48 AND trim(address) <> '' GROUP BY 1)
+SELECT c.row_id, k.lat, k.lon, 0.5 AS geometry_confidence FROM riyadh_pharmacies c JOIN cat k ON k.k = lower(trim(c.address)) WHERE c.lat IS NULL OR c.lon IS NULL""",
     "place_lookup": """
 WITH names AS (SELECT DISTINCT district_id AS key, lower(trim(n)) AS n FROM (SELECT district_id, name_en AS n FROM districts UNION ALL SELECT district_id, name_ar FROM districts) WHERE n IS NOT NULL),
 wanted AS (SELECT upper(name_en) AS name FROM districts WHERE name_en IS NOT NULL UNION SELECT r_name FROM region),
@@ -446,11 +518,28 @@ SELECT source, snapshot_no, CASE WHEN taken_at IS NULL THEN 'UNKNOWN' WHEN snaps
   CASE WHEN snapshot_no = 2 THEN NULL WHEN taken_at IS NULL THEN 'missing timestamp' WHEN age < -300 THEN 'timestamp in the future' WHEN age > 3024000 THEN 'stale' END AS error FROM a""",
     "snapshot_order": """
 WITH r AS (SELECT source, snapshot_no, CASE WHEN delivered THEN taken_at END AS t FROM snapshots),
-b AS (SELECT *, lag(t) OVER w AS p, lag(snapshot_no) OVER w AS pn FROM r WINDOW w AS (PARTITION BY source ORDER BY snapshot_no DESC))
+b AS (SELECT *, lag(t) OVER w AS p, lag(snapshot_no) OVER w AS pn FROM r WINDOW w AS (PARTITION BY source ORDER BY snapshot_no))
 SELECT source, snapshot_no, CASE WHEN pn IS NULL OR p IS NULL THEN CASE WHEN t IS NULL THEN 'UNVERIFIED_TIMESTAMP' ELSE 'NEWER_SNAPSHOT' END
   WHEN t IS NULL THEN 'ERROR missing timestamp' WHEN t < p THEN 'ERROR older' WHEN t = p THEN 'EQUAL_SNAPSHOT' ELSE 'NEWER_SNAPSHOT' END AS decision FROM b""",
     "row_hashes": """
 SELECT district_id, sha256(coalesce(district_id, chr(1)) || chr(31) || coalesce(name_en, chr(1)) || chr(31) || coalesce(name_ar, chr(1)) || chr(31) || coalesce(postcode, chr(1))) AS digest FROM districts""",
+    "unlabelled_keys": f"WITH {CURRENT_SQL} SELECT DISTINCT source || ':' || id AS source_key FROM cur WHERE source || ':' || id NOT IN (SELECT source_key FROM merge_groups)",
+    "snapshot_store": """
+WITH t AS (SELECT source, snapshot_no, taken_at, max(taken_at) OVER (PARTITION BY source ORDER BY snapshot_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM snapshots WHERE delivered)
+SELECT source, strftime(max(taken_at), '%Y-%m-%d %H:%M:%S') AS accepted_at FROM t WHERE before IS NULL OR taken_at >= before GROUP BY 1""",
+    "snapshot_stream": """
+SELECT source AS query_hash, CAST(snapshot_no AS VARCHAR) AS dataset_hash, CASE WHEN NOT delivered OR taken_at IS NULL THEN
+    CASE WHEN max(CASE WHEN delivered THEN taken_at END) OVER (PARTITION BY source) IS NULL THEN 'UNVERIFIED_TIMESTAMP' ELSE 'ERROR missing timestamp' END
+  ELSE 'NEWER_SNAPSHOT' END AS decision FROM snapshots""",
+    "review_scores": """
+WITH r AS (SELECT n.name_id, n.name_en IN (SELECT name_en FROM riyadh_pharmacies_alt WHERE name_en IS NOT NULL) AS met FROM name_register n)
+SELECT count(*) AS reviewed, count(*) FILTER (WHERE met) AS accepted, count(*) FILTER (WHERE met IS NOT TRUE) AS rejected, count(*) AS total, 0 AS faults,
+  round(count(*) FILTER (WHERE met) / count(*), 6) AS acceptance, count(*) >= 100 AS complete FROM r""",
+    "dataset_hashes": """
+WITH h AS (SELECT source, snapshot_no, sha256(concat_ws(chr(31), coalesce(id, chr(1)), coalesce(name_en, chr(1)), coalesce(name_ar, chr(1)), coalesce(phone, chr(1)), coalesce(address, chr(1)),
+    coalesce(CAST(lat AS VARCHAR), chr(1)), coalesce(CAST(lon AS VARCHAR), chr(1)))) AS x FROM riyadh_pharmacies),
+n AS (SELECT source, snapshot_no, count(*) AS n, sum(CAST('0x' || x[1:15] AS HUGEINT)) AS a, sum(CAST('0x' || x[16:30] AS HUGEINT)) AS b, sum(CAST('0x' || x[31:45] AS HUGEINT)) AS c, sum(CAST('0x' || x[46:60] AS HUGEINT)) AS d FROM h GROUP BY ALL)
+SELECT source, snapshot_no, sha256(concat_ws('|', CAST(n AS VARCHAR), CAST(a AS VARCHAR), CAST(b AS VARCHAR), CAST(c AS VARCHAR), CAST(d AS VARCHAR))) AS dataset_hash FROM n""",
     "robots_rules": """
 WITH u AS (SELECT p_partkey, '/size/' || p_size || '/' || p_partkey || CASE p_partkey % 3 WHEN 0 THEN '.json' WHEN 1 THEN '.json?x=1' ELSE '' END AS path FROM part)
 SELECT p_partkey, CASE WHEN starts_with(path, '/size/12/') THEN TRUE WHEN starts_with(path, '/size/1') THEN FALSE WHEN path LIKE '%.json' THEN FALSE ELSE TRUE END AS allowed FROM u""",

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
 from atlasmill.operators.canonical import MERGE_FIELDS
+from atlasmill.session import materialize
+from atlasmill.tables import small
 
 #: Columns that are public even where they are empty.
 ALWAYS = ("stable_id", "longitude", "latitude", "primary_source", "primary_source_id", "name_en", "name_ar", "category", "phone", "address", "confidence", "source_keys", "attributions", "licenses", "geometry_provenance", "geometry_method", "is_demo")
@@ -66,14 +68,15 @@ def upsert_layer(layer: DataFrame | None, rows: DataFrame) -> DataFrame:
     if layer is not None:
         start = layer.agg(F.max("id")).first()[0] or 0
         fresh = rows.join(layer.select("stable_id").hint("merge"), "stable_id", "left_anti")
-    ranged = fresh.select("stable_id").distinct().repartitionByRange("stable_id").sortWithinPartitions("stable_id").withColumn("_part", F.spark_partition_id())
+    # Written down: the ranges are drawn from a sample, and another run of them could cut elsewhere between the count and the numbering.
+    ranged = materialize(fresh.select("stable_id").distinct().repartitionByRange("stable_id").withColumn("_part", F.spark_partition_id()), "ranges")
     before, total = [], start
     for r in sorted(ranged.groupBy("_part").count().collect()):
         before.append((r["_part"], total))
         total += r["count"]
     offsets = spark.createDataFrame(before or [(0, start)], "_part int, _before long")
-    numbered = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("stable_id"))).join(F.broadcast(offsets), "_part")
-    ids = numbered.select("stable_id", (F.col("_before") + F.col("_n")).cast("int").alias("id"))
+    numbered = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("stable_id"))).join(small(offsets), "_part")
+    ids = numbered.select("stable_id", (F.col("_before") + F.col("_n")).cast("long").alias("id"))
     if layer is None:
         return rows.join(ids.hint("merge"), "stable_id").select("id", F.lit(True).alias("is_active"), *columns)
     ids = layer.select("stable_id", "id").unionByName(ids)

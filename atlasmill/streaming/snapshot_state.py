@@ -14,7 +14,7 @@ STATE = "timestamp timestamp, dataset_hash string"
 
 def _judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     last, seen = state.get if state.exists else (None, None)
-    rows = pd.concat(list(batches), ignore_index=True)
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["timestamp", "dataset_hash"], na_position="last", ignore_index=True)
     said = []
     for at, data in zip(rows["timestamp"], rows["dataset_hash"]):
         if pd.isna(at):
@@ -34,7 +34,8 @@ def _judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
 def judged_stream(descriptors: DataFrame) -> DataFrame:
     """decision of every descriptor (query_hash, timestamp, dataset_hash) against the last accepted one of its query_hash.
 
-    State is one timestamp and hash per scope. Rows of a scope within a micro-batch are judged in the order in which they arrive.
+    State is one timestamp and hash per scope. Micro-batches are judged as they come; within one, whose rows a shuffle has mixed, those of a
+    scope are judged by timestamp, then hash, those without a timestamp last, so the result does not depend on the partitioning.
     """
     flat = descriptors.select("query_hash", "timestamp", "dataset_hash")
     return flat.groupBy("query_hash").applyInPandasWithState(_judge, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
