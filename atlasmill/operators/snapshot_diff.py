@@ -86,7 +86,10 @@ def snapshot_changes(records: DataFrame, snapshots: DataFrame, value: str = "add
                 yield from _events(g, before, same)
                 before = g.iloc[-1]
         if held is not None:
-            end = pd.DataFrame([{"id": None, "source": None, "pos": 0, "snapshot_no": 0, "next_no": None, "value": None}])
-            yield from _events(pd.concat([held, end], ignore_index=True), before, same)
+            end = held.iloc[[0, 0]].reset_index(drop=True).astype({c: object for c in ("id", "source", "value")})
+            end.loc[1, ["id", "source", "value"]] = None  # a row of no key, which ends the last one
+            end["next_no"] = end["next_no"].astype("float64")
+            end.loc[1, ["pos", "snapshot_no", "next_no"]] = [0, 0, float("nan")]
+            yield from _events(end, before, same)
 
     return ranged.mapInPandas(merge, "snapshot_no int, id string, change_kind string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmill.functions.names import resolve_tags_col
+from atlasmill.tables import small
 from atlasmill.operators.lookups import tag_categories
 
 RAW = (
@@ -38,7 +39,7 @@ def parse_payload(payload: DataFrame, taxonomy: DataFrame, categories: list[str]
     flat = payload.select(F.col("osm3s.timestamp_osm_base").alias("base"), F.inline(F.when(bad, F.raise_error(F.lit("the payload is incomplete")).cast(payload.schema["elements"].dataType)).otherwise(F.col("elements"))))
     rows = flat.select("*", F.concat_ws("/", "type", F.col("id").cast("string")).alias("rid"))
     tags = tag_categories(taxonomy.filter(F.col("id").isin(categories)))
-    hits = rows.select("rid", F.explode("tags").alias("k", "v")).select("rid", F.concat_ws("=", "k", "v").alias("tag")).join(F.broadcast(tags), "tag")
+    hits = rows.select("rid", F.explode("tags").alias("k", "v")).select("rid", F.concat_ws("=", "k", "v").alias("tag")).join(small(tags), "tag")
     found = hits.groupBy("rid").agg(F.array_sort(F.collect_set("category")).alias("cats"), F.array_sort(F.collect_set("tag")).alias("hit"))
     r = rows.join(found.hint("merge"), "rid")
     one = F.size("cats") == 1
