@@ -174,10 +174,10 @@ def read_addresses(texts: DataFrame, districts: DataFrame, lexicon: DataFrame) -
 def token_weights(classes: DataFrame) -> DataFrame:
     """class, weights (map token -> rarity): the logarithm of one and how many times fewer addresses hold the token than there are; counted over all rows."""
     one = classes.select("class", "n", F.explode("tokens").alias("token"))
-    total = classes.agg(F.sum("n").alias("total"))
+    total = classes.agg(F.sum("n")).first()[0] or 0
     seen = one.groupBy("token").agg(F.sum("n").alias("df"))
-    weighed = one.join(seen.hint("merge"), "token").crossJoin(F.broadcast(total))  # one row
-    return weighed.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("token", F.log(1 + F.col("total") / F.col("df"))))).alias("weights"))
+    weighed = one.join(seen.hint("merge"), "token")
+    return weighed.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("token", F.log(1 + F.lit(total) / F.col("df"))))).alias("weights"))
 
 
 def same_address(rows: DataFrame, key: str, address: str, districts: DataFrame, names: DataFrame, overlap: float = 0.95, edits: int = 2, weigh=token_weights) -> DataFrame:
