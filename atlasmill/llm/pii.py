@@ -40,10 +40,14 @@ PARTICLES_EN = ("van", "von", "ben", "bin", "ibn", "abu", "de", "el", "al")
 PARTICLES_AR = ("بن", "ابن", "أبو", "ابو", "فان", "آل", "عبد", "بنت")
 
 # What stands before a person: titles, roles, signatures, fields, speakers.
-CUES_EN = r"\b(?:mr|mrs|ms|miss|dr|prof|eng|sheikh|customer|patient|client|tenant|visitor|courier|signed|signature|regards|sincerely|dear|attn|by|from|both|according to|contact|name|sheet)"
-CUES_AR = "السيد السيدة الأستاذ الأستاذة الدكتور الدكتورة الشيخ المهندس العميل العميلة الزبون المريض المريضة باسم يسكن تسكن يقيم تقيم يرى ترى قال قالت ذكر ذكرت توقيع".split()
-_AFTER_EN = re.compile(CUES_EN + r"\b\.?\s*[,:=/]?\s*(?:(?:mr|mrs|ms|dr)\.? )?(?=[^\W\d_])", re.IGNORECASE)
-_AFTER_AR = re.compile(r"(?<!\w)(?:و?(?:" + "|".join(CUES_AR) + r"))\s*[,،:=/]?\s+")
+CUES_EN = (
+    *"mr mrs ms miss dr prof eng sheikh customer patient client tenant visitor courier signed signature regards sincerely dear attn by from both to contact name sheet".split(),
+)
+CUES_AR = tuple(
+    "السيد السيدة الأستاذ الأستاذة الدكتور الدكتورة الشيخ المهندس العميل العميلة الزبون المريض المريضة باسم يسكن تسكن يقيم تقيم يرى ترى قال قالت ذكر ذكرت توقيع".split()
+)
+_THEN_EN = re.compile(r"\.?\s*[,:=/]?\s*(?:(?:[Mm]r|[Mm]rs|[Mm]s|[Dd]r)\.? )?(?=[^\W\d_])")
+_THEN_AR = re.compile(r"\s*[,،:=/]?\s+")
 _PERSON_EN = re.compile(r"(?:(?:(?:VAN|VON|BEN|BIN|ABU|DE|EL|Van|Von|Ben|Bin|Abu|De|El) )?[A-ZÀ-Þ][\w'’\-]+, )?([A-ZÀ-Þ][\w'’]+)(?= (?:[A-ZÀ-Þ]\. |[A-ZÀ-Þ][\w'’]+ )?(?:(?:Van|Von|Ben|Bin|Abu|De|El|VAN|VON|BEN|BIN|ABU|DE|EL) )?[A-ZÀ-Þ][\w'’\-]+)?")
 _PERSON_AR = re.compile(r"([ء-ي]{2,}) (?=[ء-ي]{2,})")
 #: A word is a given name if it stands behind a cue at least so often, and that is at least this share of all its occurrences.
@@ -59,7 +63,6 @@ _NUMBER_AFTER_EN = re.compile(r"\.?,?(?: no\.?)? +(?:bldg\.? |building )?(\d{2,5
 _NAME_BEFORE_EN = re.compile(r"(?:(?<=\s)|^|(?<=[/(\"'>,:;=]))((?:(?:Al|El|Al-)[ \-])?[A-ZÀ-Þ][\w'’\-]*) +$")
 _NUMBER_BEFORE_AR = re.compile(r"(?:(?P<b>مبنى (?:رقم )?)(?P<bn>\d{1,5})[،,]? +|(?<![\d:./,\-+])(?P<n>\d{2,5})[،,]? +)$")
 _NUMBER_AFTER_AR = re.compile(r" +[^\W\d_]+(?: [^\W\d_]+)?[،,]?(?: -)? +(?:(?:مبنى|عمارة|رقم) )+(\d{1,5})(?!\d)")
-_LETTERS = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(r"[^\W\d_](?:[\w'’]|-(?=\w))*")
 _ANY_NAME_BEFORE = re.compile(r"(?:(?<=[^\w\-])|^)([^\W\d_][\w'’\-]*) +$")
 _GAP, _INITIAL = re.compile(r" (?=\w)"), re.compile(r"[A-Z]\.(?= )")
@@ -346,24 +349,39 @@ def redact_col(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield t.map(redact, na_action="ignore")
 
 
-def people_in(flat: str) -> list[str]:
+@lru_cache(maxsize=1)
+def _cues() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for w in (*CUES_EN, *CUES_AR):
+        a.add_word(w, w)
+    a.make_automaton()
+    return a
+
+
+def people_in(flat: str, low: str | None = None) -> list[str]:
     """Words of a folded text (lower case) that stand where a cue expects a given name."""
-    out = []
-    for m in _AFTER_EN.finditer(flat):
-        p = _PERSON_EN.match(flat, m.end())
-        if p and (p.end() < len(flat) and flat[p.end()] == " " or "," in p.group()):
-            rest = _lower(flat[m.end() : m.end() + 60]).split()
+    low, out = low or _lower(flat), []
+    for last, cue in _cues().iter(low):
+        i, j, arabic = last + 1 - len(cue), last + 1, cue >= "؀"
+        if (j < len(low) and (low[j].isalnum() or low[j] == "_")) or (i and (low[i - 1].isalnum() or low[i - 1] == "_") and not (arabic and low[i - 1] == "و")):
+            continue
+        then = (_THEN_AR if arabic else _THEN_EN).match(flat, j)
+        p = then and (_PERSON_AR if arabic else _PERSON_EN).match(flat, then.end())
+        if not p:
+            continue
+        if arabic:
+            if p.group(1) not in STOP_AR and p.group(1) not in PLACES and p.group(1) not in CUES_AR:
+                out.append(p.group(1))
+        elif (p.end() < len(flat) and flat[p.end()] == " ") or "," in p.group():
+            rest = low[then.end() : then.end() + 60].split()
             if not any(w.strip(".,;") in PLACES for w in rest[:4]):
                 out.append(_lower(p.group(1)))
-    for m in _AFTER_AR.finditer(flat):
-        p = _PERSON_AR.match(flat, m.end())
-        if p and p.group(1) not in STOP_AR and p.group(1) not in PLACES and p.group(1) not in CUES_AR:
-            out.append(p.group(1))
     return out
 
 
 def learn_names(documents: DataFrame, text: str = "text") -> tuple[str, ...]:
-    """Given names of a corpus: words that stand behind cues LEAST_SEEN times or more, and there in LEAST_SHARE of all their occurrences.
+    """Given names of a corpus: words that stand behind cues LEAST_SEEN times or more, and there in LEAST_SHARE of all their occurrences as a word
+    between spaces.
 
     Counts are taken over all documents and added up before they leave a task; what comes back is the names (at most MAX_NAMES, checked).
     """
@@ -374,8 +392,10 @@ def learn_names(documents: DataFrame, text: str = "text") -> tuple[str, ...]:
         for b in batches:
             for t in b["t"]:
                 flat = t.translate(_FOLDS)
-                cued.update(people_in(flat))
-                seen.update(_LETTERS.findall(flat.lower()))
+                low = _lower(flat)
+                cued.update(people_in(flat, low))
+                seen.update(low.split())
+        seen.update(dict.fromkeys(cued.keys() - seen.keys(), 0))
         yield pd.DataFrame({"w": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64"), "c": pd.Series([cued.get(w, 0) for w in seen], dtype="int64")})
 
     rows = documents.select(F.col(text).cast("string").alias("t")).filter("t is not null")
