@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasmill.functions.visible import skeleton_col
+from atlasmill.session import materialize
 from atlasmill.tables import small
 
 
@@ -21,14 +22,15 @@ def with_skeleton(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def skeleton_groups(texts: DataFrame, text: str = "text") -> DataFrame:
-    """skeleton, originals (distinct texts, sorted), n_rows: the groups of texts that look alike.
+    """skeleton, original, n_rows, n_originals: one row for each distinct text, beside the number of distinct texts that look like it (itself too).
 
-    Equal texts are counted before their skeleton is taken, so a text that makes up a third of the rows is one row from then on.
-    Null and unreadable texts are in no group.
+    Equal texts are counted before their skeleton is taken, so a text that makes up a third of the rows is one row from then on; a group is never
+    gathered in one row. Null and unreadable texts are in no group.
     """
-    counted = texts.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("n"))
-    seen = with_skeleton(counted).filter("skeleton <> ''")
-    return seen.groupBy("skeleton").agg(F.array_sort(F.collect_list("text")).alias("originals"), F.sum("n").alias("n_rows"))
+    counted = texts.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("original")).agg(F.count("*").alias("n_rows"))
+    seen = materialize(with_skeleton(counted, "original").filter("skeleton <> ''"), "skeletons")
+    sizes = seen.groupBy("skeleton").agg(F.count("*").alias("n_originals"))
+    return seen.join(sizes.hint("merge"), "skeleton").select("skeleton", "original", "n_rows", "n_originals")
 
 
 def matches_register(rows: DataFrame, key: str, register: DataFrame, register_key: str, fields: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from atlasmill.llm import sql_text
 from atlasmill.llm.addresses import same_address
 from atlasmill.llm.bpe import encode_corpus
-from atlasmill.llm.confusables import matches_register
+from atlasmill.llm.confusables import long_form, matches_register, skeleton_groups
 from atlasmill.llm.leakage import leaks
 from atlasmill.llm.matching import match_records
 from atlasmill.llm.pii import mentions
@@ -32,6 +32,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches_register(now, "id", table(spark, sf_dir, "name_register"), "name_id", ["name_en", "name_ar"])
 
 
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of all rows that look like another name stored with other characters."""
+    rows = long_form(table(spark, sf_dir, "riyadh_pharmacies"), "row_id", ["name_en", "name_ar"])
+    return skeleton_groups(rows).filter("n_originals > 1")
+
+
 def _field_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of merge_groups with their name_ar (both tables) and hours (the second)."""
     groups = table(spark, sf_dir, "merge_groups").select(F.col("entity_id").alias("group"), "source_key").distinct()
@@ -79,7 +85,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_true_values": p5_true_values, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_groups": p2_groups, "p5_found": p5_found, "p5_true_values": p5_true_values, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_paraphrases": p8_paraphrases, "p9_found": p9_found}
 
 
 def sql() -> dict[str, str]:

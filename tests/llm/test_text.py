@@ -33,8 +33,9 @@ def test_register_matches(spark):
 
 def test_skeleton_groups(spark):
     rows = spark.createDataFrame([("abc",), ("аbc",), ("abc",), ("ABC",), (None,), ("​",)], "text string")
-    got = {r["skeleton"]: (r["originals"], r["n_rows"]) for r in skeleton_groups(rows).collect()}
-    assert got == {"abc": (["abc", "аbc"], 3), "ABC": (["ABC"], 1)}
+    got = {r["original"]: (r["skeleton"], r["n_rows"], r["n_originals"]) for r in skeleton_groups(rows).collect()}
+    assert got == {"abc": ("abc", 2, 2), "аbc": ("abc", 1, 2), "ABC": ("ABC", 1, 1)}
+    assert skeleton_groups(rows.limit(0)).count() == 0
 
 
 @pytest.fixture(scope="module")
