@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atlasmill.session import materialize
+from atlasmill.session import materialize, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low.hint("merge"), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        now = materialize(small.filter("u <> v").distinct(), "edges")
+        last, now = now, materialize(small.filter("u <> v").distinct(), "edges")
+        release(last)
         size = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if size == before:
             break

@@ -17,7 +17,7 @@ from atlasmill.operators.conflate import conflate
 from atlasmill.operators.merge import content_id, merge_clusters
 from atlasmill.operators.proximity import near_pairs
 from atlasmill.plans.general import CURRENT_SQL
-from atlasmill.session import materialize, shared_dir
+from atlasmill.session import materialize, release, shared_dir
 from atlasmill.sinks import layer
 from atlasmill.sources.records import parse_payload
 from atlasmill.sources.registry import checked
@@ -127,6 +127,11 @@ def merged_places(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def provenance_sidecar(spark: SparkSession, d: str) -> DataFrame:
+    """Which record every field of every merged place came from, one row a field."""
+    return _merged(spark, d).select("stable_id", F.explode("provenance").alias("field", "source_key"))
+
+
 def _by_phone(spark: SparkSession, d: str) -> DataFrame:
     """Members of earlier groups (of both tables), grouped anew by phone; a member of several rows counts under its smallest number."""
     key = F.concat_ws(":", "source", "id").alias("source_key")
@@ -187,7 +192,8 @@ def _layer(rows: DataFrame, last: int) -> DataFrame:
     """The layer after the deliveries 0 to `last`, one after another."""
     done = None
     for i in range(last + 1):
-        done = materialize(layer.upsert_layer(done, _at(rows, i)), "layer")
+        before, done = done, materialize(layer.upsert_layer(done, _at(rows, i)), "layer")
+        release(before)
     return done
 
 
@@ -288,7 +294,8 @@ def snapshot_store(spark: SparkSession, d: str) -> DataFrame:
     rows = materialize(_descriptors(spark, d), "descriptors")
     store = rows.drop("snapshot_no").limit(0)
     for (no,) in sorted(map(tuple, table(spark, d, "snapshots").select("snapshot_no").distinct().collect())):
-        store = materialize(snapshots.accept(store, snapshots.decide(rows.filter(F.col("snapshot_no") == no).drop("snapshot_no"), store)), "store")
+        before, store = store, materialize(snapshots.accept(store, snapshots.decide(rows.filter(F.col("snapshot_no") == no).drop("snapshot_no"), store)), "store")
+        release(before)
     return store.select("source", F.col("timestamp").cast("string").alias("accepted_at"))
 
 
@@ -355,7 +362,7 @@ def payload_records(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = (
     registry_faults, licence_gate, licence_report, routing, canonical, contributors, run_counters, area_box, area_polygon, candidate_pairs, near_components, conflation_decisions,
-    conflated_places, merged_places, key_overlaps, kept_ids, merge_quality, unlabelled_keys, field_changes, layer_upsert, layer_check, layer_columns, layer_rows, layer_geojson, bilingual_names,
+    conflated_places, merged_places, provenance_sidecar, key_overlaps, kept_ids, merge_quality, unlabelled_keys, field_changes, layer_upsert, layer_check, layer_columns, layer_rows, layer_geojson, bilingual_names,
     bilingual_counts, name_forms, enriched_names, phone_keys, tag_lookup, taxonomy_coverage, geocoded, place_lookup, snapshot_freshness, snapshot_order, snapshot_store, snapshot_stream, review_scores, generated_merges, row_hashes,
     dataset_hashes, robots_rules, payload_records,
 )
@@ -386,7 +393,7 @@ merged AS (
   SELECT list(source_key ORDER BY source_key) AS keys, count(*) AS n_keys, first(lat ORDER BY confidence DESC, source_key) AS lat, first(lon ORDER BY confidence DESC, source_key) AS lon,
     {", ".join(f"{_FIRST.format(c, c)} AS {c}, {_FIRST.format('source_key', c)} AS {c}_by" for c in ("name_en", "name_ar", "phone", "address"))},
     max(harvested_at) AS harvested_at, max(confidence) AS confidence, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
-    first(confidence ORDER BY confidence DESC, source_key) AS best
+    first(source_key ORDER BY confidence DESC, source_key) AS category_by, first(confidence ORDER BY confidence DESC, source_key) AS best
   FROM keyed GROUP BY cluster),
 ided AS (SELECT *, sha256(array_to_string(keys, '|'))[:20] AS stable_id FROM merged)"""
 _DIGITS = "regexp_replace(coalesce({0}, ''), '[^\\p{{Nd}}]', '', 'g')"
@@ -467,6 +474,7 @@ reach(node, root) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT e.b, r.ro
 SELECT node, min(root) AS component FROM reach GROUP BY node""",
     "merged_places": f"""WITH {_MERGED} SELECT stable_id, CAST(n_keys AS INT) AS n_keys, lat, lon, name_en, name_en_by, name_ar, name_ar_by, phone, phone_by, address, harvested_at, confidence,
   coalesce(name_en, '') <> '' AND coalesce(name_ar, '') <> '' AS language_complete, licenses FROM ided""",
+    "provenance_sidecar": f"WITH {_MERGED} " + " UNION ALL ".join(f"SELECT stable_id, '{c}' AS field, {c}_by AS source_key FROM ided WHERE {c}_by IS NOT NULL" for c in ("category", "name_en", "name_ar", "phone", "address")),
     "key_overlaps": f"""WITH {_BYPHONE}
 SELECT g.entity_id AS old_id, m.digits AS new_id, count(DISTINCT m.source_key) AS overlap FROM mine m JOIN merge_groups g USING (source_key) GROUP BY ALL""",
     "merge_quality": f"""WITH {_BYPHONE},

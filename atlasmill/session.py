@@ -53,7 +53,22 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table_at = path
+    return out
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete the table behind a DataFrame that materialize() returned and that no plan reads any more."""
+    path = getattr(df, "_table_at", None) if df is not None else None
+    for entry in [w for w in _written if w[1] == path]:
+        _written.remove(entry)
+        _delete(*entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def drop_materialized() -> None:
@@ -61,8 +76,7 @@ def drop_materialized() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # the session is gone; its temporary folders went with it
             pass
 

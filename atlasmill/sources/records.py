@@ -73,6 +73,22 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("entries array<struct<id:string,address:string,lat:double,lon:double,confidence:double>>").json(path, multiLine=True).select(F.inline("entries"))
 
 
+def gated_catalog(spark: SparkSession, path: str, use: str) -> DataFrame:
+    """read_catalog() of a file whose provider may serve the use; a refused use, a provider without licence or attribution, and an address that is listed
+    twice are errors."""
+    provider = "provider struct<name:string,license:string,attribution:string,allowed_uses:array<string>,commercial_use:boolean>"
+    who = spark.read.schema(provider).json(path, multiLine=True).select("provider.*").first()
+    if who is None or not all((who["name"], who["license"], who["attribution"])):
+        raise ValueError("the catalogue names no provider with licence and attribution")
+    if use not in (who["allowed_uses"] or ()) or (use != "internal" and not who["commercial_use"]):
+        raise ValueError(f"{who['name']} may not be used for {use}")
+    entries = read_catalog(spark, path)
+    twice = entries.groupBy(F.lower(F.trim("address")).alias("address")).count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"the address {twice['address']!r} is listed twice")
+    return entries
+
+
 def read_places(spark: SparkSession, path: str) -> DataFrame:
     """key, name, geometry of a GeoJSON collection: one row for each name and alias of a feature."""
     schema = "features array<struct<properties:struct<id:string,name:string,aliases:array<string>>,geometry:string>>"

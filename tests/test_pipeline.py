@@ -66,3 +66,16 @@ def test_intent():
     got = intent("clinics near King Fahd Road", words)
     assert got["near"] and got["radius_m"] == 500 and got["area"] == "King Fahd Road"
     assert intent("hello", words)["unresolved"] == ["category", "area_of_interest"] and plural("Perfumery") == "perfumeries" and plural("Bus") == "buses"
+
+
+def test_tables_are_deleted_when_released(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from atlasmill.session import materialize, release
+
+    one, two = (materialize(spark.range(n), "t") for n in (3, 4))
+    at = [Path(urlparse(d._table_at).path) for d in (one, two)]
+    assert all(p.exists() for p in at)
+    release(one), release(None), release(spark.range(1))
+    assert not at[0].exists() and two.count() == 4

@@ -69,3 +69,24 @@ def test_probe_merges_nothing(spark):
     got = probe(spark, 250)
     assert got["places"] == got["unchanged"] == 250 and got["features_per_hour"] > 0 and set(got["seconds"]) == {"records", "places", "artifacts"}
     assert taxonomy(spark).count() > 4
+
+
+def test_catalogue_gate(spark, tmp_path):
+    from atlasmill.sources.records import gated_catalog
+
+    provider = {"name": "P", "license": "L", "attribution": "A", "allowed_uses": ["internal", "commercial"], "commercial_use": False}
+    entry = {"address": "1 Sidra Road", "lat": 1.0, "lon": 2.0, "confidence": 0.4}
+
+    def file(**more):
+        path = tmp_path / "c.json"
+        path.write_text(json.dumps({"provider": provider, "entries": [entry]} | more))
+        return str(path)
+
+    assert gated_catalog(spark, file(), "internal").count() == 1
+    for path, use in ((file(), "commercial"), (file(), "redistribute")):
+        with pytest.raises(ValueError, match="may not"):
+            gated_catalog(spark, path, use)
+    with pytest.raises(ValueError, match="twice"):
+        gated_catalog(spark, file(entries=[entry, {**entry, "address": " 1 sidra ROAD"}]), "internal")
+    with pytest.raises(ValueError, match="names no provider"):
+        gated_catalog(spark, file(provider={**provider, "license": ""}), "internal")
