@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fields merged one by one, in the order in which reports list them.
+# Names of the fields that records of all sources share.
 MERGE_FIELDS = (
     "name_en", "name_ar", "category", "phone", "email", "address", "hours", "source_category", "website",
     "address_street", "address_city", "address_region", "address_postcode", "address_country", "footprint_ref",

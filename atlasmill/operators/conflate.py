@@ -73,6 +73,11 @@ def address_likeness(first: pd.Series, second: pd.Series) -> pd.Series:
     return pd.Series([_alike(x.casefold(), y.casefold()) if x and y else None for x, y in zip(first, second)], dtype=float)
 
 
+# Decisions and reasons of the log, as its readers know them.
+ALREADY, REJECT, MERGE = "ALREADY_MERGED", "REJECT", "MERGE"
+IN_CLUSTER, PHONES, BRANCHES, EVIDENCE, CATEGORIES, TOO_LOW = "existing_cluster", "conflicting_phone_numbers", "same_source_branch_guard", "name_distance_phone_evidence", "category_mismatch", "below_match_threshold"
+
+
 def _replay(g: pd.DataFrame, version: int) -> pd.DataFrame:
     """Decisions over the pairs of one component, in order of latitude; each merge is seen by the decisions after it."""
     g = g.sort_values(["first_lat", "first_rec", "second_lat", "second_rec"], kind="stable")
@@ -86,17 +91,17 @@ def _replay(g: pd.DataFrame, version: int) -> pd.DataFrame:
                 cluster[rec], members[rec], phones[rec] = rec, [rec], {source: digits}
         a, b = cluster[r.rec_i], cluster[r.rec_j]
         if a == b:
-            said.append(("ALREADY_MERGED", "existing_cluster"))
+            said.append((ALREADY, IN_CLUSTER))
             continue
         pa, pb = phones[a], phones[b]
         known_a, known_b = {v for v in pa.values() if v}, {v for v in pb.values() if v}
         both = pa.keys() & pb.keys()
         if version >= 3 and known_a and known_b and known_a != known_b:
-            said.append(("REJECT", "conflicting_phone_numbers"))
+            said.append((REJECT, PHONES))
         elif version >= 2 and both and (r.distance_m > 15 or any(not pa[s] or pa[s] != pb[s] for s in both)):
-            said.append(("REJECT", "same_source_branch_guard"))
+            said.append((REJECT, BRANCHES))
         else:
-            said.append(("MERGE", "name_distance_phone_evidence"))
+            said.append((MERGE, EVIDENCE))
             for rec in members.pop(b):
                 cluster[rec] = a
                 members[a].append(rec)
@@ -135,7 +140,7 @@ def conflate(records: DataFrame, version: int = 3) -> tuple[DataFrame, DataFrame
     log = log.join(where.hint("merge"), "rec_i").join(where.select(F.col("rec_i").alias("rec_j"), F.col("address_i").alias("address_j")).hint("merge"), "rec_j")
     south = F.col("lat_j") < F.col("lat_i")
     likeness = address_likeness(F.when(south, F.col("address_j")).otherwise(F.col("address_i")), F.when(south, F.col("address_i")).otherwise(F.col("address_j")))
-    weak = F.when(F.col("category_i") != F.col("category_j"), "category_mismatch").otherwise("below_match_threshold")
+    weak = F.when(F.col("category_i") != F.col("category_j"), CATEGORIES).otherwise(TOO_LOW)
     decisions = log.select(
         F.when(swap, F.col("source_key_j")).otherwise(F.col("source_key_i")).alias("left"),
         F.when(swap, F.col("source_key_i")).otherwise(F.col("source_key_j")).alias("right"),
@@ -143,7 +148,7 @@ def conflate(records: DataFrame, version: int = 3) -> tuple[DataFrame, DataFrame
         F.round("score", 6).alias("match_score"),
         F.round(likeness, 6).alias("address_similarity"),
         F.lit(version).alias("algorithm_version"),
-        F.coalesce("decision", F.lit("REJECT")).alias("decision"),
+        F.coalesce("decision", F.lit(REJECT)).alias("decision"),
         F.coalesce("why", weak).alias("reason"),
     )
     return clustered, decisions

@@ -6,8 +6,8 @@ SOURCE = {"kind": "fixture", "license": "L", "allowed_uses": ["internal"], "comm
 
 
 def test_run_verify_replay_and_errors(spark, tmp_path, capsys):
-    (tmp_path / "one.json").write_text(json.dumps([{"id": "1", "lat": 24.7, "lon": 46.7, "category": "pharmacy", "name_en": "Nakheel Pharmacy"}, {"id": "2", "lat": 24.70002, "lon": 46.7, "category": "pharmacy", "name_en": "Central Pharmacy"}]))
-    (tmp_path / "two.json").write_text(json.dumps([{"id": "9", "lat": 24.70001, "lon": 46.7, "category": "pharmacy", "name_ar": "صيدلية النخيل", "hours": "24/7"}]))
+    (tmp_path / "one.json").write_text(json.dumps([{"id": "1", "lat": 24.71, "lon": 46.73, "category": "pharmacy", "name_en": "Sidra Pharmacy"}, {"id": "2", "lat": 24.71002, "lon": 46.73, "category": "pharmacy", "name_en": "Yara Pharmacy"}]))
+    (tmp_path / "two.json").write_text(json.dumps([{"id": "9", "lat": 24.71001, "lon": 46.73, "category": "pharmacy", "name_ar": "صيدلية سدرة", "hours": "24/7"}]))
     registry = tmp_path / "sources.json"
     registry.write_text(json.dumps({"sources": [{**SOURCE, "name": "one", "path": "one.json", "reliability_weight": 0.9}, {**SOURCE, "name": "two", "path": "two.json", "reliability_weight": 0.5}]}))
     out = str(tmp_path / "run")
