@@ -128,6 +128,19 @@ def test_same_address(spark):
     assert ("a", "b") not in {(r["id_a"], r["id_b"]) for r in bare.collect()}
 
 
+def test_districts_of_one_name_and_misread_names(spark):
+    districts = spark.createDataFrame([("d1", "Burj Al Misk", "برج المسك", "42886"), ("d2", "Burj Al Misk", "برج المسك", "60730"), ("d3", "Hazm Al Kawthar", None, "21768"), ("d4", "Hazm Al Raihan", "حزم الريحان", "31768"), ("d5", "Hazm Al Layan", "حزم الليان", "41768")], "district_id string, name_en string, name_ar string, postcode string")
+    names = spark.createDataFrame([*NAMES, ("Layan Pharmacy", "صيدلية ليان")], "name_en string, name_ar string")
+    rows = [
+        ("a", "12 Kawthar Street, Burj Al Misk, Riyadh"), ("b", "12 Kawthar Street, Burj Al Misk 60730"), ("c", "مبنى 12، شارع كوثر، برج المسك"), ("d", "P.C. 42886, 77 Kawthar Str."), ("e", "77 Kawthar Street, Burj Al Misk, Riyadh"), ("f", "77 Kawthar Street, Hazm Al Kawthar, Riyadh"),
+        ("g", "9 Mishkat Lane, Burj Al Misk 42886"), ("h", "9 Mishkat Lane, Burj Al Misk 60730"), ("i", "5 Raihan Road, Burj Al Misk"), ("j", "5 Raihan Road, Hazm Al Kawthar"), ("k", "الرياض - حي برج السك - طريق ريحان - مبنى 5"), ("l", "P.C. 60730, 12 Kawthr Street"), ("m", "3 Qwertz Street, Burj Al Misk"), ("n", "3 Qwerts Street, Burj Al Misk 60730"),
+        ("o", "الرياض - حي حزم الريان - شارع كوثر - مبنى 44"), ("p", "44 Kawthar Street, Hazm Al Raihan 31768"), ("q", "44 Kawthar Street, Hazm Al Kawthar 21768"),
+    ]
+    df = spark.createDataFrame(rows, "id string, address string")
+    got = {(r["id_a"], r["id_b"]) for r in same_address(df, "id", "address", districts, names).collect()}
+    assert got == {("a", "b"), ("a", "c"), ("b", "c"), ("a", "l"), ("b", "l"), ("c", "l"), ("d", "e"), ("i", "k"), ("m", "n"), ("o", "p")}
+
+
 def test_names_and_phones():
     assert core_name("Al Kawthar Pharmacy", False) == core_name("El Kauthar pharmacy", False) == ("kauthar", None)
     assert core_name("Pharmacy Dawhat Murooj #37", False) == ("dauhat muruj", 37) and core_name("TBD", False) == ("", None) and core_name(None, True) == ("", None)
