@@ -6,6 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from atlasmill.llm import matching
 from atlasmill.llm.addresses import learn_lexicon, nearest_forms, plain, read_addresses, same_address, token_weights
 from atlasmill.llm.matching import BUCKETS, DIM, Names, calibrate_cosine, candidates, core_name, fit_logistic, match_records, mend_places, phone_number, skip_gram, trigrams
 from atlasmill.llm.survivors import credible_texts, quality_model, survivors, true_values
@@ -241,3 +242,18 @@ def test_match_records_edges(spark):
     assert match_records(left.limit(0), right, groups).count() == 0 and match_records(left, right.limit(0), groups).count() == 0
     nulls = spark.createDataFrame([("n", None, None, None, None, None, None), (None, "A", "ب", "1", 1.0, 1.0, "x"), ("z", "", " ", "", 0.0, 0.0, "y"), ("w", "W" * 50_000, None, "011", 999.0, float("nan"), "z")], left.schema)
     assert match_records(left.unionByName(nulls), right.unionByName(nulls), groups).filter("id in ('n', 'z')").count() == 0
+
+
+def test_a_full_block_of_one_phone_loses_no_pairs(spark, monkeypatch):
+    left, right, groups, _ = shops(spark, 400, 250)
+    late = F.substring("id", 2, 9).cast("int") >= 250
+    one = F.substring("id", 2, 9).cast("int") % 5 == 0
+    rows = lambda d, k: d.withColumns({"phone": F.when(one, "920001418").otherwise(F.col("phone")), "lat": F.when(~(late & one), F.col("lat")), "name_en": F.when(late & one, "Kawthar Rimal Pharmacy").otherwise(F.col("name_en")), "name_ar": F.when(late & one, "صيدلية كوثر ورمال").otherwise(F.col("name_ar"))})
+    left, right = rows(left, "l"), rows(right, "r")
+    run = lambda: {(r["id"], r["alt_id"]): r["confidence"] for r in match_records(left, right, groups, least=0.02).collect()}
+    monkeypatch.setattr(matching, "SHARED", 10)
+    whole = run()
+    monkeypatch.setattr(matching, "HOT_BLOCK", 12)
+    split = run()
+    shared = {(f"l{i}", f"r{j}") for i in range(250, 400, 5) for j in range(250, 400, 5)}
+    assert shared <= set(whole) and shared <= set(split), (len(shared & set(whole)), len(shared & set(split)))
